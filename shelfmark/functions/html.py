@@ -12,11 +12,22 @@ from pyspark.sql import functions as F
 _QUOTED = r""""[^"]*+"|'[^']*+'"""
 _REST_OF_TAG = rf"(?>[^>\"']++|{_QUOTED})*+>"
 _VALUE = rf"""({_QUOTED}|[^\s"'>]+)"""
-_NOISE = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 # Names of tags and attributes ignore case; class tokens do not.
 _CLASS = r"\s(?i:class)\s*=\s*"
 
 
+def _until_closed(tag):
+    """Everything up to the first closing tag, without backtracking."""
+    return rf"[^<]*+(?:<(?!/(?i:{tag})\b)[^<]*+)*+"
+
+
+_COMMENT = r"!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
+_CODE = "|".join(
+    rf"(?i:{tag})\b{_until_closed(tag)}</(?i:{tag})\s*>" for tag in ("script", "style")
+)
+_NOISE = f"<(?:{_COMMENT}|{_CODE})"
+
+
 def drop_noise(html):
     """HTML without comments, scripts and styles, whose text must not be taken for elements."""
     return F.regexp_replace(html, _NOISE, "")
@@ -27,29 +38,32 @@ def elements(html, tag, css_class=None):
     return F.regexp_extract_all(html, F.lit(_element(tag, css_class)), F.lit(1))
 
 
-def first_element(html, tag, css_class=None):
-    """Inner HTML of the first such element, NULL if there is none."""
-    return F.try_element_at(elements(html, tag, css_class), F.lit(1))
+def element(html, tag, css_class=None):
+    """The first such element, its tags included; empty if there is none."""
+    return F.regexp_extract(html, _element(tag, css_class), 0)
 
 
-def first_tag(html, tag, css_class=None):
-    """The first such opening tag itself, NULL if there is none."""
-    found = F.regexp_extract_all(html, F.lit(f"(?s)({_open(tag, css_class)})"), F.lit(1))
-    return F.try_element_at(found, F.lit(1))
+def opening_tag(html, tag, css_class=None, within=None):
+    """The first such opening tag, or that of the first `within` element; empty if none."""
+    wanted = _open(tag, css_class)
+    if within is None:
+        return F.regexp_extract(html, wanted, 0)
+    before = rf"[^<]*+(?:<(?!(?i:{within})\b)[^<]*+)*+"
+    between = rf"[^<]*+(?:<(?!(?:{wanted[1:]})|/(?i:{within})\b)[^<]*+)*+"
+    return F.regexp_extract(html, f"^{before}{_open(within, None)}{between}({wanted})", 1)
 
 
-def attribute(opening_tag, name):
+def attribute(tag, name):
     """Raw value of an attribute of an opening tag, NULL if absent."""
     wanted = rf"\s{name}\s*=\s*"
     pattern = rf"(?is)^<\w+(?>(?!{wanted})(?:[^>\"']|{_QUOTED}))*+{wanted}{_VALUE}"
-    raw = F.try_element_at(F.regexp_extract_all(opening_tag, F.lit(pattern), F.lit(1)), F.lit(1))
-    quoted = raw.startswith('"') | raw.startswith("'")
-    return F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+    raw = F.try_element_at(F.regexp_extract_all(tag, F.lit(pattern), F.lit(1)), F.lit(1))
+    return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
-def text(inner_html):
-    """Text of inner HTML, entities not yet decoded."""
-    return F.regexp_replace(inner_html, r"(?s)<[^>]*>", "")
+def text(html):
+    """Text without tags, entities not yet decoded."""
+    return F.regexp_replace(html, f"</?[a-zA-Z]{_REST_OF_TAG}", "")
 
 
 def unescape(col):
@@ -69,7 +83,7 @@ def _open(tag, css_class):
 
 
 def _element(tag, css_class):
-    return rf"(?s){_open(tag, css_class)}(.*?)</(?i:{tag})\s*>"
+    return rf"{_open(tag, css_class)}({_until_closed(tag)})</(?i:{tag})\s*>"
 
 
 def _unescape_udf():

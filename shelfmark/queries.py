@@ -429,9 +429,9 @@ def listed_works_capped(spark, folder):
             html, '(?s)<article(?:\\s[^>]*)?>(.*?)</article>', 1)) AS body
         FROM pages)
     SELECT page_id,
-           replace(replace(regexp_replace(
+           regexp_replace(regexp_replace(regexp_replace(
                regexp_extract(body, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
-               '&quot;', '"'), '&amp;', '&') AS heading,
+               '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS heading,
            CAST(length(body) AS INTEGER) AS size
     FROM bodies
 """)
@@ -440,7 +440,7 @@ def page_articles(spark, folder):
     articles = table(spark, folder, "pages").select("page_id", F.explode(body).alias("body"))
     return articles.select(
         "page_id",
-        H.unescape(H.text(H.first_element(F.col("body"), "h1"))).alias("heading"),
+        H.unescape(H.text(H.element(F.col("body"), "h1"))).alias("heading"),
         F.length("body").alias("size"),
     )
 
@@ -454,8 +454,8 @@ def page_attributes(spark, folder):
     html = F.col("html")
     return table(spark, folder, "pages").select(
         "page_id",
-        H.attribute(H.first_tag(html, "a"), "href").alias("first_link"),
-        H.attribute(H.first_tag(html, "html"), "lang").alias("lang"),
+        H.attribute(H.opening_tag(html, "a"), "href").alias("first_link"),
+        H.attribute(H.opening_tag(html, "html"), "lang").alias("lang"),
     )
 
 
@@ -736,7 +736,8 @@ def table_quality(spark, folder):
          web AS (SELECT title, ANY_VALUE(rating) AS rating FROM ({_CARDS_SQL})
                  WHERE price_gbp > 0 GROUP BY title),
          latest AS (SELECT year FROM ({_DUMP_SQL}) WHERE year IS NOT NULL
-                    QUALIFY row_number() OVER (PARTITION BY isbn ORDER BY o_orderdate DESC) = 1),
+                    QUALIFY row_number() OVER (
+                        PARTITION BY isbn ORDER BY title, author, year, publisher) = 1),
          api AS (SELECT subject FROM ({_SILVER_API_SQL}))
     SELECT 'bronze/web' AS step, 'OK' AS status, n AS rows_in, n AS rows_out FROM lines
     UNION ALL SELECT 'bronze/csv', 'OK', n, n FROM dump

@@ -32,14 +32,15 @@ def all_cards(pages, html="html", max_pages=None):
     if max_pages is not None:
         pages = page_range(pages, max_pages)
     cards = H.elements(H.drop_noise(F.col(html)), "article", "product_pod")
-    raw = pages.select(F.inline(F.transform(cards, _raw_fields)))
+    raw = pages.select(F.explode(cards).alias("card")).select(*_raw_fields(F.col("card")))
+    stock = F.when(F.col("stock_element") != "", H.text(F.col("stock_element")))
     decoded = raw.select(
         H.unescape(F.col("raw_title")).alias("title"),
         H.unescape(F.col("raw_price")).alias("price_text"),
-        H.unescape(F.col("raw_availability")).alias("availability_text"),
-        "rating_tag_class",
+        H.unescape(stock).alias("availability_text"),
+        "rating_classes",
     )
-    word = token(F.col("rating_tag_class"), 2)
+    word = token(F.col("rating_classes"), 2)
     price = clean_price("price_text")
     return decoded.select(
         "title",
@@ -61,9 +62,10 @@ def cards_from_pages(pages, html="html", max_pages=None):
 
 
 def _raw_fields(card):
-    return F.struct(
-        H.attribute(H.first_tag(H.first_element(card, "h3"), "a"), "title").alias("raw_title"),
-        H.text(H.first_element(card, "p", "price_color")).alias("raw_price"),
-        H.text(H.first_element(card, "p", "instock")).alias("raw_availability"),
-        H.attribute(H.first_tag(card, "p", "star-rating"), "class").alias("rating_tag_class"),
-    )
+    link, stars = H.opening_tag(card, "a", within="h3"), H.opening_tag(card, "p", "star-rating")
+    return [
+        H.attribute(link, "title").alias("raw_title"),
+        H.text(H.element(card, "p", "price_color")).alias("raw_price"),
+        H.element(card, "p", "instock").alias("stock_element"),
+        H.attribute(stars, "class").alias("rating_classes"),
+    ]
