@@ -2,6 +2,7 @@
 
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -55,13 +56,15 @@ class RowCount:
     def __init__(self):
         self._seen = Observation()
 
-    def watch(self, df, kept=None):
-        """Count all rows, and those for which `kept` holds."""
-        kept = F.lit(True) if kept is None else kept
-        return df.observe(
-            self._seen, F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept")
-        )
+    def watch(self, df):
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"))
 
     def rows(self):
-        """The count, or None where the plan dropped its observation. Call after the action."""
-        return self._seen.get.get("rows")
+        """The count, or None where Spark found the plan empty and dropped the observation.
+
+        Call after the action, else this waits for it.
+        """
+        try:
+            return self._seen.get.get("rows")
+        except Py4JJavaError:
+            return None

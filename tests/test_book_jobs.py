@@ -1,0 +1,385 @@
+import glob
+import json
+import os
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark import schemas as S
+from shelfmark.plans.gold import (
+    GOLD_JOBS,
+    gold_by_year,
+    gold_price_stats,
+    gold_top_rated,
+    gold_top_subjects,
+)
+from shelfmark.plans.jobs import Inputs, StepsFailed, run_all, run_bronze, run_gold, run_silver
+from shelfmark.plans.silver import silver_api, silver_csv, silver_web
+from shelfmark.session import Layers, ObjectStore, SessionSpec, shared_folder, shuffle_partitions
+from shelfmark.sinks.tables import RowCount, overwrite_table, write_batch
+from shelfmark.sources.layers import read_bronze, read_silver
+
+DAY1 = datetime(2025, 1, 1, tzinfo=timezone.utc)
+DAY2 = datetime(2025, 1, 2, 3, 4, 5, 678901, tzinfo=timezone.utc)
+
+
+def shape(schema):
+    return [(field.name, field.dataType) for field in schema]
+
+
+def rows(df, *columns):
+    return sorted((tuple(row) for row in df.select(*columns).collect()), key=str)
+
+
+# --- Silver ---
+
+
+def web(spark, *records):
+    return spark.createDataFrame([(*record, "web", DAY1) for record in records], S.BRONZE_WEB)
+
+
+def test_silver_web(spark):
+    df = silver_web(
+        web(
+            spark,
+            ("  Book A  ", 10.0, 3, " In stock "),
+            ("  Book A  ", 10.0, 3, " In stock "),
+            ("Book B", None, 4, "x"),
+            ("Book C", -1.0, 4, "x"),
+            ("Book D", 0.0, 4, "x"),
+            ("Book A", 12.0, 2, "x"),
+            (None, 1.0, 1, "x"),
+            (None, 2.0, 1, "x"),
+        ),
+        batch_ts=DAY2,
+    )
+    assert shape(df.schema) == shape(S.SILVER_WEB)
+    # Keys differ by spaces, so both copies of Book A stay; NULL titles are one group.
+    assert rows(df, "title", "price_gbp", "rating", "availability") == [
+        ("Book A", 10.0, 3, "In stock"),
+        ("Book A", 12.0, 2, "x"),
+        (None, 1.0, 1, "x"),
+    ]
+    assert rows(df.select("layer", "source").distinct(), "layer", "source") == [("silver", "web")]
+    assert df.select(F.date_format("transformed_at", "HHmmss")).first()[0] == "030405"
+
+
+def test_trimmed_keys_are_one_book(spark):
+    df = web(spark, (" A", 2.0, 1, "x"), ("A", 1.0, 1, "x"))
+    assert rows(silver_web(df, normalize_key=True), "title", "price_gbp") == [("A", 1.0)]
+
+
+def test_an_invalid_later_copy_does_not_displace_a_valid_one(spark):
+    records = [
+        ("A", 10.0, 3, "x", "web", DAY1),
+        ("A", None, 3, "x", "web", DAY2),
+        ("B", 1.0, 3, "x", "web", DAY1),
+        ("B", 2.0, 3, "x", "web", DAY2),
+    ]
+    df = spark.createDataFrame(records, S.BRONZE_WEB)
+    assert rows(silver_web(df), "title", "price_gbp") == [("A", 10.0), ("B", 2.0)]
+
+
+def book(isbn="1", title="T", author="A", year="2000", publisher="P"):
+    return (isbn, title, author, year, publisher, "s", "m", "l", "csv", DAY1)
+
+
+def test_silver_csv(spark):
+    df = spark.createDataFrame(
+        [
+            book("0195153448", " T ", " A ", "2002.0"),
+            book("2", year="1750"),
+            book("3", year="9999"),
+            book("4", year="DK Publishing"),
+            book("5", year=None),
+            book(None),
+            book("7", title=None),
+            book("8", author=None),
+            book("9", year=" 2024 "),
+            book("9", year="unknown"),
+        ],
+        S.BRONZE_CSV,
+    )
+    silver = silver_csv(df, DAY2)
+    assert shape(silver.schema) == shape(S.SILVER_CSV)
+    assert rows(silver, "isbn", "title", "author", "year", "publisher") == [
+        ("0195153448", "T", "A", 2002, "P"),
+        ("9", "T", "A", 2024, "P"),
+    ]
+
+
+def work(key="k", title="T", authors=("A", "B"), year=2000, subject="s", editions=1):
+    authors = None if authors is None else list(authors)
+    return (title, authors, year, subject, editions, key, "api", DAY1)
+
+
+def test_silver_api(spark):
+    df = spark.createDataFrame(
+        [
+            work("k1", " T "),
+            work("k2", None),
+            work("k3", year=1799),
+            work("k4", year=None),
+            work("k5", authors=()),
+            work("k6", authors=None),
+            work("k7", "", authors=("A", None)),
+            work("k8", subject="b"),
+            work("k8", subject="a"),
+            work("", "x"),
+            work("", "y"),
+        ],
+        S.BRONZE_API,
+    )
+    silver = silver_api(df, DAY2)
+    assert shape(silver.schema) == shape(S.SILVER_API)
+    assert rows(silver, "key", "title", "authors", "subject") == [
+        ("", "x", "[A, B]", "s"),
+        ("k1", "T", "[A, B]", "s"),
+        ("k5", "T", "[]", "s"),
+        ("k6", "T", None, "s"),
+        ("k7", "", "[A, null]", "s"),
+        ("k8", "T", "[A, B]", "a"),
+    ]
+
+
+# --- Gold ---
+
+
+def test_gold_top_rated(spark):
+    data = [(f"Book {i:02d}", float(i), i % 5 + 1, "In stock") for i in range(50)]
+    data += [("unrated", 0.5, None, "x"), ("tie", 4.0, 5, "x")]
+    df = spark.createDataFrame(data, "title string, price_gbp float, rating int, availability string")
+    top = gold_top_rated(df)
+    assert top.columns == ["title", "price_gbp", "rating", "availability"]
+    found = [tuple(row) for row in top.collect()]
+    assert len(found) == 20
+    assert [row[0] for row in found[:3]] == ["Book 04", "tie", "Book 09"]
+    assert gold_top_rated(df, k=3).count() == 3
+
+
+def test_gold_by_year(spark):
+    data = [("2", 2020, "A", "P"), ("1", 2020, "A", "Q"), ("3", 2021, None, "P"), ("4", None, "A", "P")]
+    df = spark.createDataFrame(data, "isbn string, year int, author string, publisher string")
+    found = gold_by_year(df)
+    assert found.columns == ["year", "nombre_livres", "nombre_auteurs", "nombre_editeurs"]
+    assert [tuple(row) for row in found.collect()] == [(2020, 2, 1, 2), (2021, 1, 0, 1)]
+
+
+def test_gold_price_stats(spark):
+    df = spark.createDataFrame(
+        [("A", 10.0, 5), ("B", 20.0, 5), ("C", 15.0, 4)], "title string, price_gbp float, rating int"
+    )
+    found = gold_price_stats(df)
+    assert found.columns == ["rating", "nombre_livres", "prix_min", "prix_max", "prix_moyen"]
+    assert [tuple(row) for row in found.collect()] == [
+        (5, 2, 10.0, 20.0, 15.0),
+        (4, 1, 15.0, 15.0, 15.0),
+    ]
+
+
+def test_gold_top_subjects(spark):
+    data = [("x", 1, 2000), ("x", 2, 1990), ("b", 3, 1980), ("a", 4, 1970)]
+    df = spark.createDataFrame(data, "subject string, edition_count int, first_publish_year int")
+    found = gold_top_subjects(df)
+    assert found.columns == [
+        "subject",
+        "nombre_livres",
+        "editions_moyennes",
+        "plus_ancien",
+        "plus_recent",
+    ]
+    assert [tuple(row) for row in found.collect()] == [
+        ("x", 2, 1.5, 1990, 2000),
+        ("a", 1, 4.0, 1970, 1970),
+        ("b", 1, 3.0, 1980, 1980),
+    ]
+
+
+# --- Files of the layers ---
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv", "parquet"])
+def test_batches_come_back_as_written(spark, folder, fmt):
+    layers = Layers.under(folder)
+    source = "csv" if fmt == "csv" else "api"
+    if fmt == "csv":
+        records = [
+            ("001", ' "q", \\ x\ny ', None, "2000", "é£", None, None, None, "csv", DAY2),
+            ("2", "a,b", "'", " ", "x\r\ny", None, None, None, "csv", None),
+        ]
+    else:
+        records = [(" é£ ", ["A", None], 2000, "s", None, "", "api", DAY2), (None,) * 7 + (DAY1,)]
+    df = spark.createDataFrame(records, S.BRONZE[source])
+    path = write_batch(df, layers, source, DAY2, fmt)
+    assert path.endswith(f"/bronze/{source}/books_20250102_030405.{fmt}")
+    back = read_bronze(spark, layers, source, fmt)
+    assert shape(back.schema) == shape(S.BRONZE[source])
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_json_keeps_non_ascii_text_and_nulls(spark, folder):
+    layers = Layers.under(folder)
+    path = write_batch(web(spark, ("é£", None, 1, "x")), layers, "web", DAY1)
+    text = "".join(open(name, encoding="utf-8").read() for name in glob.glob(f"{path}/part-*"))
+    assert '"title":"é£"' in text and '"price_gbp":null' in text
+
+
+def test_batches_add_up_and_a_retry_does_not(spark, folder):
+    layers = Layers.under(folder)
+    for batch_ts in (DAY1, DAY2, DAY2):
+        write_batch(web(spark, ("A", 1.0, 1, "x")), layers, "web", batch_ts)
+    df = read_bronze(spark, layers, "web", file_column="file")
+    batches = df.select(F.regexp_extract("file", r"books_\d+_\d+", 0)).collect()
+    assert sorted(row[0] for row in batches) == ["books_20250101_000000", "books_20250102_030405"]
+
+
+def test_bronze_reads_array_files(spark, folder):
+    path = Layers.under(folder).bronze_path("web")
+    os.makedirs(path)
+    book = {"title": "A", "price_gbp": 3, "rating": 1, "extracted_at": "2025-01-02T03:04:05.678901"}
+    for name, content in (("full", [book, {"title": "B"}]), ("empty", [])):
+        with open(f"{path}/books_{name}.json", "w") as file:
+            json.dump(content, file, indent=2)
+    df = read_bronze(spark, Layers.under(folder), "web", multi_line=True)
+    assert rows(df, "title", "price_gbp", "rating") == [("A", 3.0, 1), ("B", None, None)]
+    assert df.filter(F.col("extracted_at") == F.lit("2025-01-02T03:04:05.678901")).count() == 1
+    os.remove(f"{path}/books_full.json")
+    empty = read_bronze(spark, Layers.under(folder), "web", multi_line=True)
+    assert silver_web(empty).count() == 0
+
+
+def test_tables_are_replaced_whole(spark, folder):
+    overwrite_table(spark.range(10), f"{folder}/t")
+    overwrite_table(spark.range(3), f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+
+
+def test_rows_are_counted_by_the_write(spark, folder):
+    count = RowCount()
+    overwrite_table(count.watch(spark.range(10)).filter("id > 3"), f"{folder}/t")
+    assert count.rows() == 10
+
+
+# --- Whole runs ---
+
+CARD = (
+    '<article class="product_pod"><h3><a title="{}">x</a></h3><p class="star-rating {}"></p>'
+    '<p class="price_color">£{}</p><p class="instock">In stock</p></article>'
+)
+
+
+@pytest.fixture
+def inputs(spark, folder):
+    cards = [("A", "Five", "10"), ("B", "One", "5"), ("B", "One", "5"), ("bad", "One", "free")]
+    html = "".join(CARD.format(*card) for card in cards)
+    overwrite_table(spark.createDataFrame([("page-1.html", html)], S.RAW_PAGES), f"{folder}/pages")
+    body = json.dumps({"works": [{"title": "W", "key": "k", "first_publish_year": 2001}, None]})
+    responses = spark.createDataFrame([("s", body), ("t", "broken")], S.RAW_RESPONSES)
+    overwrite_table(responses, f"{folder}/responses")
+    os.makedirs(f"{folder}/csv")
+    with open(f"{folder}/csv/Books.csv", "w") as file:
+        file.write(",".join(S.LANDING_CSV_COLUMNS) + "\n1,T,A,2000,P,s,m,l\n2,T,A,1,P,s,m,l,x\n")
+    return Inputs(f"{folder}/pages", f"{folder}/csv", f"{folder}/responses")
+
+
+def statuses(df):
+    return {row["step"]: (row["status"], row["rows_in"], row["rows_out"]) for row in df.collect()}
+
+
+@pytest.mark.parametrize("parallel", [False, True])
+def test_whole_run_twice(spark, folder, inputs, parallel):
+    layers = Layers.under(folder)
+    expected = {
+        "bronze/web": ("OK", 4, 3),
+        "bronze/csv": ("OK", 2, 1),
+        "bronze/api": ("OK", 2, 1),
+        "silver/web": ("OK", 3, 2),
+        "silver/csv": ("OK", 1, 1),
+        "silver/api": ("OK", 1, 1),
+        "gold/top_rated_books": ("OK", 2, 2),
+        "gold/books_by_year": ("OK", 1, 1),
+        "gold/price_stats_by_rating": ("OK", 2, 2),
+        "gold/top_subjects": ("OK", 1, 1),
+    }
+    status = run_all(spark, inputs, layers, DAY1, parallel=parallel)
+    assert statuses(status) == expected
+    gold = {name: spark.read.parquet(layers.gold_path(name)).collect() for name in GOLD_JOBS}
+    again = statuses(run_all(spark, inputs, layers, DAY2, parallel=parallel))
+    # Silver reads both batches, and the same Gold tables come out.
+    assert again["silver/web"] == ("OK", 6, 2)
+    for name, found in gold.items():
+        assert spark.read.parquet(layers.gold_path(name)).collect() == found
+    assert [row["title"] for row in gold["top_rated_books"]] == ["A", "B"]
+    assert read_silver(spark, layers, "csv").first()["isbn"] == "1"
+
+
+def test_layers_run_one_by_one(spark, folder, inputs):
+    layers = Layers.under(folder)
+    bronze = run_bronze(spark, inputs, layers, DAY1)
+    paths = {row["step"]: row["path"] for row in bronze.collect()}
+    for source, ext in (("web", "json"), ("csv", "csv"), ("api", "json")):
+        assert f"{source}/books_" in paths[f"bronze/{source}"]
+        assert paths[f"bronze/{source}"].endswith(f".{ext}")
+    assert set(statuses(run_silver(spark, layers))) == {"silver/web", "silver/csv", "silver/api"}
+    assert len(statuses(run_gold(spark, layers))) == 4
+
+
+def test_a_failing_source_leaves_the_others(spark, folder, inputs):
+    layers = Layers.under(folder)
+    broken = Inputs(inputs.pages, f"{folder}/absent", inputs.responses)
+    with pytest.raises(StepsFailed, match="bronze/csv") as failure:
+        run_all(spark, broken, layers, DAY1)
+    found = statuses(failure.value.status)
+    assert found["bronze/csv"][0] == "ERROR"
+    assert found["silver/csv"][0] == found["gold/books_by_year"][0] == "SKIPPED"
+    assert found["gold/top_rated_books"] == ("OK", 2, 2)
+    assert found["gold/top_subjects"][0] == "OK"
+    report = run_all(spark, broken, layers, DAY1, raise_on_error=False)
+    assert statuses(report)["bronze/csv"][0] == "ERROR"
+
+
+def test_rows_in_is_known_when_nothing_is_left(spark, folder):
+    layers = Layers.under(folder)
+    write_batch(web(spark, ("A", -1.0, 1, "x"), ("B", None, 1, "x")), layers, "web", DAY1)
+    found = statuses(run_silver(spark, layers, ["web"]))
+    assert found == {"silver/web": ("OK", 2, 0)}
+    assert statuses(run_gold(spark, layers, ["top_rated_books", "price_stats_by_rating"])) == {
+        "gold/top_rated_books": ("OK", 0, 0),
+        "gold/price_stats_by_rating": ("OK", 0, 0),
+    }
+
+
+def test_only_the_given_sources_run(spark, folder, inputs):
+    found = statuses(run_all(spark, Inputs(pages=inputs.pages), Layers.under(folder), DAY1))
+    assert set(found) == {
+        "bronze/web",
+        "silver/web",
+        "gold/top_rated_books",
+        "gold/price_stats_by_rating",
+    }
+
+
+# --- Session ---
+
+
+def test_object_store_settings():
+    env = {"S3_ENDPOINT_URL": "http://store:9000", "AWS_ACCESS_KEY_ID": "a"}
+    conf = SessionSpec(store=ObjectStore.from_env(env), jars=("x.jar", "y.jar")).conf()
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.access.key"] == "a"
+    assert "spark.hadoop.fs.s3a.secret.key" not in conf
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert conf["spark.jars"] == "x.jar,y.jar"
+
+
+def test_shuffles_grow_with_the_input():
+    assert shuffle_partitions(0) == 200
+    assert SessionSpec(input_bytes=10**14).conf()["spark.sql.shuffle.partitions"] == "745059"
+
+
+def test_shared_folder_is_under_the_checkpoint_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
