@@ -31,7 +31,8 @@ NA_TOKENS = [
 # Every character Python's str.strip() removes.
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
-_DECIMAL_INT = r"^[+-]?[0-9]+\.[0-9]*$"
+# An integer of up to 18 digits besides leading zeros, with any fraction after it.
+_INTEGER = r"^[\x00-\x20]*([+-]?0*[0-9]{1,18})(?:\.[0-9]*)?[\x00-\x20]*$"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -40,9 +41,9 @@ def safe_int(col):
 
     "2002.0" gives 2002; exponents such as "1e3" are not integers and give NULL.
     """
-    col = _col(col).cast("string")
-    decimal = F.when(F.trim(col).rlike(_DECIMAL_INT), col.try_cast("double").try_cast("int"))
-    return F.coalesce(col.try_cast("int"), decimal)
+    # The pattern comes first, as a cast that fails costs far more than one that is not tried.
+    digits = F.regexp_extract_all(_col(col), F.lit(_INTEGER), F.lit(1))
+    return F.try_element_at(digits, F.lit(1)).cast("bigint").try_cast("int")
 
 
 def safe_double(col):

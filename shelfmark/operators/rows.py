@@ -45,6 +45,15 @@ def dedup_latest(df, keys, latest=(), ties=None):
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def spread(df):
+    """Deal the rows of a small input out to all cores, before costly work on each row.
+
+    Only where the scan has fewer tasks than the cluster has cores; a larger input stays put.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def add_lineage(df, source, extracted_at):
     """Where a raw record came from and when."""
     return df.withColumns({"source": F.lit(source), "extracted_at": extracted_at})

@@ -32,7 +32,15 @@ from .operators.quality import (
     not_empty,
     quality_report,
 )
-from .operators.rows import add_lineage, dedup_latest, in_range, moment, positive, require
+from .operators.rows import (
+    add_lineage,
+    dedup_latest,
+    in_range,
+    moment,
+    positive,
+    require,
+    spread,
+)
 from .plans.gold import gold_by_year, gold_price_stats, gold_top_rated, gold_top_subjects
 from .plans.jobs import Inputs, run_all
 from .plans.silver import silver_api, silver_csv, silver_web
@@ -351,7 +359,7 @@ _WORKS_SQL = f"""
 
 def pages_of_documents(documents):
     """A catalogue page per document, with a product card per line."""
-    return documents.select(
+    return spread(documents.select("doc_id", "text")).select(
         F.concat(F.lit("http://shop.example.com/page-1.html?id="), "doc_id").alias("url"),
         F.concat(
             F.lit("<html><body><!-- <article class='product_pod'> --><ol>"),
@@ -395,7 +403,7 @@ def responses_of_documents(documents):
             F.concat(F.lit("/works/"), F.split_part(line, F.lit(" "), F.lit(1))).alias("key"),
         ),
     )
-    return documents.select(
+    return spread(documents.select("lang", "text")).select(
         F.col("lang").alias("subject"), F.to_json(F.struct(works.alias("works"))).alias("body")
     )
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.fields import field, has_field
+from ..operators.rows import spread
 
 API_SOURCE = "openlibrary_api"
 
@@ -25,6 +26,7 @@ def all_works(responses, subject="subject", body="body", subjects=None, limit=No
     """
     if subjects is not None:
         responses = responses.filter(F.col(subject).isin(list(subjects)))
+    responses = spread(responses.select(subject, body))
     works = F.from_json(F.col(body), _BODY)["works"]
     if limit is not None:
         works = F.slice(works, 1, limit)
