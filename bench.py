@@ -7,7 +7,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -54,27 +53,25 @@ def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
-        spark = build_session(
-            SessionSpec(
-                app_name="bench",
-                master=f"local[{cpus}]",
-                extra={
-                    "spark.ui.enabled": "false",
-                    "spark.driver.memory": "8g",
-                    "spark.sql.shuffle.partitions": cpus,
-                    "spark.checkpoint.dir": shared,
-                },
-            )
+    spark = build_session(
+        SessionSpec(
+            app_name="bench",
+            master=f"local[{cpus}]",
+            extra={
+                "spark.ui.enabled": "false",
+                "spark.driver.memory": "8g",
+                "spark.sql.shuffle.partitions": cpus,
+            },
         )
-        spark.sparkContext.setLogLevel("ERROR")
-        times = {}
-        for name in names:
-            seconds(spark, name, folder)
-            times[name] = round(
-                statistics.median(seconds(spark, name, folder) for _ in range(RUNS)), 3
-            )
-        spark.stop()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    times = {}
+    for name in names:
+        seconds(spark, name, folder)
+        times[name] = round(
+            statistics.median(seconds(spark, name, folder) for _ in range(RUNS)), 3
+        )
+    spark.stop()
     print(
         json.dumps(
             {

@@ -2,13 +2,13 @@
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
 def require(df, columns):
     """Rows where every listed column is non-null; empty strings stay."""
-    return df.dropna(subset=list(columns))
+    # Plain null tests reach the scan; dropna's own test does not, and takes NaN for a null.
+    return df.filter(_all(F.col(f"`{name}`").isNotNull() for name in columns))
 
 
 def positive(df, column):
@@ -23,26 +23,31 @@ def in_range(df, column, low=None, high=None):
         bounds.append(F.col(column) >= low)
     if high is not None:
         bounds.append(F.col(column) <= high)
-    return df.filter(reduce(lambda a, b: a & b, bounds)) if bounds else require(df, [column])
+    return df.filter(_all(bounds)) if bounds else require(df, [column])
 
 
-def dedup_latest(df, keys, latest=(), ties=None):
-    """One row per key: the latest, ties settled by the other columns.
+def dedup_latest(df, keys, latest=()):
+    """One row per key: the one with the largest `latest` columns, then the largest others.
 
-    Rows with a NULL key form one group. `latest` columns sort descending with nulls last, then
-    `ties` (default: every remaining column) ascending, so the winner does not depend on the
-    order of the input. Rank 1 of a window lets Spark keep one row per key in every map task
-    before the shuffle, so a hot key sends at most one row per task.
+    Columns compare in the order given, then in the order of the table, a NULL below any value,
+    so the winner does not depend on the order of the input. Rows with a NULL key form one group.
+    A maximum is taken in every map task before the shuffle, so a hot key sends one row per task
+    however many rows it has.
     """
     keys, latest = list(keys), list(latest)
-    if ties is None:
-        ties = [name for name in df.columns if name not in {*keys, *latest}]
-    order = [F.col(f"`{name}`").desc_nulls_last() for name in latest]
-    order += [F.col(f"`{name}`").asc_nulls_first() for name in ties]
-    if not order:
-        return df.dropDuplicates(keys)
-    window = Window.partitionBy(*[F.col(f"`{name}`") for name in keys]).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    others = [name for name in df.columns if name not in {*keys, *latest}]
+    if not latest and not others:
+        return df.distinct()
+    fields = [F.col(f"`{name}`") for name in [*latest, *others]]
+    best = df.groupBy(*[F.col(f"`{name}`") for name in keys]).agg(
+        F.max(F.struct(*fields)).alias("_best")
+    )
+    return best.select(
+        *[
+            F.col(f"`{name}`") if name in keys else F.col("_best")[name].alias(name)
+            for name in df.columns
+        ]
+    )
 
 
 def spread(df):
@@ -69,3 +74,7 @@ def moment(batch_ts=None):
     if batch_ts is None:
         return F.current_timestamp()
     return F.lit(batch_ts).cast("timestamp")
+
+
+def _all(conditions):
+    return reduce(lambda a, b: a & b, conditions)

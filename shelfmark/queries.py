@@ -211,7 +211,8 @@ def dedup_documents(spark, folder):
     SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS ts, user_id, event_type, value, props
     FROM events
     QUALIFY row_number() OVER (
-        PARTITION BY user_id, event_type ORDER BY ts DESC, event_id, value, props) = 1
+        PARTITION BY user_id, event_type
+        ORDER BY ts DESC, event_id DESC, value DESC, props DESC) = 1
 """)
 def dedup_events(spark, folder):
     latest = dedup_latest(table(spark, folder, "events"), ["user_id", "event_type"], ["ts"])
@@ -222,7 +223,8 @@ def dedup_events(spark, folder):
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
     QUALIFY row_number() OVER (
         PARTITION BY l_partkey
-        ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_suppkey, l_quantity) = 1
+        ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC,
+                 l_quantity DESC) = 1
 """)
 def dedup_lines(spark, folder):
     lines = table(spark, folder, "lineitem").select(
@@ -602,7 +604,7 @@ _SILVER_WEB_SQL = f"""
            trim(availability) AS availability, 'books.toscrape.com' AS source,
            '20250131_123045' AS extracted_at, 'silver' AS layer, '20250131_123045' AS transformed_at
     FROM ({_CARDS_SQL}) WHERE price_gbp > 0
-    QUALIFY row_number() OVER (PARTITION BY title ORDER BY price_gbp, rating, availability) = 1
+    QUALIFY row_number() OVER (PARTITION BY title ORDER BY price_gbp DESC) = 1
 """
 _SILVER_CSV_SQL = f"""
     SELECT isbn, trim(title) AS title, trim(author) AS author, year, publisher, 'csv' AS source,
@@ -610,7 +612,8 @@ _SILVER_CSV_SQL = f"""
            '20250131_123045' AS transformed_at
     FROM ({_DUMP_SQL}) WHERE year BETWEEN 1996 AND 2000
     QUALIFY row_number() OVER (
-        PARTITION BY isbn ORDER BY o_orderdate DESC, title, author, year, publisher) = 1
+        PARTITION BY isbn
+        ORDER BY o_orderdate DESC, title DESC, author DESC, year DESC, publisher DESC) = 1
 """
 _WORK_TEXT_SQL = f"""
     SELECT * REPLACE ('[' || array_to_string(authors, ', ') || ']' AS authors) FROM ({_WORKS_SQL})
@@ -622,7 +625,8 @@ _SILVER_API_SQL = f"""
     FROM ({_WORK_TEXT_SQL}) WHERE first_publish_year >= 1800
     QUALIFY row_number() OVER (
         PARTITION BY key
-        ORDER BY title, authors, first_publish_year, subject, edition_count) = 1
+        ORDER BY title DESC, authors DESC, first_publish_year DESC, subject DESC,
+                 edition_count DESC) = 1
 """
 
 
@@ -663,7 +667,7 @@ def silver_api_table(spark, folder):
 @query(f"""
     SELECT trim(title) AS title, CAST(price_gbp AS FLOAT) AS price_gbp, rating
     FROM ({_CARDS_SQL}) WHERE price_gbp > 0
-    QUALIFY row_number() OVER (PARTITION BY trim(title) ORDER BY price_gbp, rating) = 1
+    QUALIFY row_number() OVER (PARTITION BY trim(title) ORDER BY price_gbp DESC, rating DESC) = 1
 """)
 def silver_trimmed_keys(spark, folder):
     """Titles that differ in outer spaces only are one book when keys are trimmed first."""
@@ -745,7 +749,8 @@ def table_quality(spark, folder):
                  WHERE price_gbp > 0 GROUP BY title),
          latest AS (SELECT year FROM ({_DUMP_SQL}) WHERE year IS NOT NULL
                     QUALIFY row_number() OVER (
-                        PARTITION BY isbn ORDER BY title, author, year, publisher) = 1),
+                        PARTITION BY isbn
+                        ORDER BY title DESC, author DESC, year DESC, publisher DESC) = 1),
          api AS (SELECT subject FROM ({_SILVER_API_SQL}))
     SELECT 'bronze/web' AS step, 'OK' AS status, n AS rows_in, n AS rows_out FROM lines
     UNION ALL SELECT 'bronze/csv', 'OK', n, n FROM dump

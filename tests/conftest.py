@@ -10,7 +10,7 @@ from shelfmark.session import SessionSpec, build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         SessionSpec(
             app_name="tests",
@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
             extra={
                 "spark.ui.enabled": "false",
                 "spark.sql.shuffle.partitions": "8",
-                "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             },
         )
     )

@@ -45,7 +45,7 @@ RECORD = "k string, at int, a string, b double"
 def test_dedup_keeps_the_latest_then_settles_ties(spark):
     rows = [("k", 1, "z", 1.0), ("k", 2, "b", 2.0), ("k", 2, "a", 3.0), ("k", None, "a", 0.0)]
     df = spark.createDataFrame(rows, RECORD)
-    assert read(dedup_latest(df, ["k"], ["at"])) == [("k", 2, "a", 3.0)]
+    assert read(dedup_latest(df, ["k"], ["at"])) == [("k", 2, "b", 2.0)]
 
 
 def test_null_keys_are_one_group_and_spaces_count(spark):
@@ -58,7 +58,7 @@ def test_dedup_reduces_in_the_map_tasks(spark):
     df = spark.range(10_000).selectExpr("IF(id < 0, 'cold', 'hot') AS k", "CAST(id AS INT) AS at")
     latest = dedup_latest(df, ["k"], ["at"])
     plan = latest._jdf.queryExecution().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "partial_max" in plan
     assert read(latest) == [("hot", 9999)]
 
 
