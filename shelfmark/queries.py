@@ -359,9 +359,13 @@ _WORKS_SQL = f"""
 """
 
 
+def documents_of(spark, folder):
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+
+
 def pages_of_documents(documents):
     """A catalogue page per document, with a product card per line."""
-    return spread(documents.select("doc_id", "text")).select(
+    return documents.select(
         F.concat(F.lit("http://shop.example.com/page-1.html?id="), "doc_id").alias("url"),
         F.concat(
             F.lit("<html><body><!-- <article class='product_pod'> --><ol>"),
@@ -405,14 +409,14 @@ def responses_of_documents(documents):
             F.concat(F.lit("/works/"), F.split_part(line, F.lit(" "), F.lit(1))).alias("key"),
         ),
     )
-    return spread(documents.select("lang", "text")).select(
+    return documents.select(
         F.col("lang").alias("subject"), F.to_json(F.struct(works.alias("works"))).alias("body")
     )
 
 
 @query(f"SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL})")
 def product_cards(spark, folder):
-    return cards_from_pages(pages_of_documents(table(spark, folder, "documents")))
+    return cards_from_pages(pages_of_documents(documents_of(spark, folder)))
 
 
 @query(f"""
@@ -421,14 +425,14 @@ def product_cards(spark, folder):
     FROM ({_WORKS_SQL})
 """)
 def listed_works(spark, folder):
-    works = works_from_responses(responses_of_documents(table(spark, folder, "documents")))
+    works = works_from_responses(responses_of_documents(documents_of(spark, folder)))
     return works.withColumn("authors", F.array_join("authors", "|"))
 
 
 @query(f"SELECT title, subject, key FROM ({_WORKS_SQL}) WHERE n <= 3 AND subject IN ('fr', 'de')")
 def listed_works_capped(spark, folder):
     """The feature that takes the first three works of each response, of two subjects."""
-    responses = responses_of_documents(table(spark, folder, "documents"))
+    responses = responses_of_documents(documents_of(spark, folder))
     works = works_from_responses(responses, subjects=["fr", "de"], limit=3)
     return works.select("title", "subject", "key")
 
@@ -637,7 +641,7 @@ def _stamped(silver):
 
 
 def _silver_web(spark, folder):
-    return silver_web(bronze_web(table(spark, folder, "documents")), BATCH_TS)
+    return silver_web(bronze_web(documents_of(spark, folder)), BATCH_TS)
 
 
 def _silver_csv(spark, folder):
@@ -646,7 +650,7 @@ def _silver_csv(spark, folder):
 
 
 def _silver_api(spark, folder):
-    return silver_api(bronze_api(table(spark, folder, "documents")), BATCH_TS)
+    return silver_api(bronze_api(documents_of(spark, folder)), BATCH_TS)
 
 
 @query(_SILVER_WEB_SQL)
@@ -671,7 +675,7 @@ def silver_api_table(spark, folder):
 """)
 def silver_trimmed_keys(spark, folder):
     """Titles that differ in outer spaces only are one book when keys are trimmed first."""
-    bronze = bronze_web(table(spark, folder, "documents"))
+    bronze = bronze_web(documents_of(spark, folder))
     return silver_web(bronze, BATCH_TS, normalize_key=True).select("title", "price_gbp", "rating")
 
 
@@ -766,7 +770,7 @@ def table_quality(spark, folder):
 def medallion_status(spark, folder):
     """Everything at once: raw files to Bronze, Silver and Gold tables, with row counts."""
     root = shared_folder(spark, "medallion")
-    documents, orders = table(spark, folder, "documents"), table(spark, folder, "orders")
+    documents, orders = documents_of(spark, folder), table(spark, folder, "orders")
     inputs = Inputs(f"{root}/raw/pages", f"{root}/raw/csv", f"{root}/raw/responses")
     overwrite_table(pages_of_documents(documents), inputs.pages)
     _write_csv(book_dump(orders).drop("o_orderdate"), inputs.landing_csv)

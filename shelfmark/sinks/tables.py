@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..sources.layers import batch_format
 
 # Keeps a CSV file, which may not be split, within the size of one task.
-CSV_ROWS_PER_FILE = 1_000_000
+CSV_ROWS_PER_FILE = 500_000
 
 _WRITE_OPTIONS = {
     "csv": {

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions.columns import clean_price, rating_from_word, strip_ws, token
 from ..operators.rows import spread
+from ..schemas import RAW_PAGES
 
 WEB_SOURCE = "books.toscrape.com"
 
@@ -13,9 +14,7 @@ _PAGE_NUMBER = r"page-([0-9]+)\.html"
 
 def read_raw_pages(spark, path, fmt="parquet"):
     """Fetched pages: (url, html), Parquet or JSON Lines."""
-    from ..schemas import RAW_PAGES
-
-    return spark.read.schema(RAW_PAGES).format(fmt).load(path)
+    return spread(spark.read.schema(RAW_PAGES).format(fmt).load(path))
 
 
 def page_range(pages, max_pages, url="url"):
@@ -33,7 +32,6 @@ def all_cards(pages, html="html", max_pages=None):
     if max_pages is not None:
         pages = page_range(pages, max_pages)
     cards = H.elements(H.drop_noise(F.col(html)), "article", "product_pod")
-    pages = spread(pages.select(html))
     raw = pages.select(F.explode(cards).alias("card")).select(*_raw_fields(F.col("card")))
     stock = F.when(F.col("stock_element") != "", H.text(F.col("stock_element")))
     decoded = raw.select(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import field, has_field
 from ..operators.rows import spread
+from ..schemas import RAW_RESPONSES
 
 API_SOURCE = "openlibrary_api"
 
@@ -12,9 +13,7 @@ _BODY = "struct<works: array<variant>>"
 
 def read_raw_responses(spark, path, fmt="parquet"):
     """Fetched responses: (subject, body), Parquet or JSON Lines."""
-    from ..schemas import RAW_RESPONSES
-
-    return spark.read.schema(RAW_RESPONSES).format(fmt).load(path)
+    return spread(spark.read.schema(RAW_RESPONSES).format(fmt).load(path))
 
 
 def all_works(responses, subject="subject", body="body", subjects=None, limit=None):
@@ -26,7 +25,6 @@ def all_works(responses, subject="subject", body="body", subjects=None, limit=No
     """
     if subjects is not None:
         responses = responses.filter(F.col(subject).isin(list(subjects)))
-    responses = spread(responses.select(subject, body))
     works = F.from_json(F.col(body), _BODY)["works"]
     if limit is not None:
         works = F.slice(works, 1, limit)
