@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import NA_TOKENS, null_if_in
 from ..schemas import LANDING_CSV_COLUMNS
+from .records import are_plain, assemble_records
 
 _MALFORMED = "_malformed"
 _QUOTED_FIELD = r'"[^"]*+(?:""[^"]*+)*+"'
@@ -17,13 +18,22 @@ _FIELD = rf'(?>{_QUOTED_FIELD}|(?!")[^,]*+)'
 _WHOLE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+$"
 
 
+# One task parses a file up to this size in about a minute.
+LARGE_FILE_BYTES = 4 * 1024**3
+
+# How the records of a file are found.
+BY_LINE = "each line is a record"
+BY_FILE = "one task parses the file"
+BY_QUOTES = "lines are joined by their quotes"
+
+
 @dataclass(frozen=True)
 class Layout:
     """What a file must be read with."""
 
     header: str
     utf8: bool
-    one_line_records: bool
+    records: str
 
     @property
     def columns(self):
@@ -34,53 +44,101 @@ class Layout:
         return "UTF-8" if self.utf8 else "ISO-8859-1"
 
 
+def _lines(spark, path, names=None, **options):
+    text = spark.read.options(recursiveFileLookup=True, **options).text(path)
+    if names is not None:
+        # Before the line numbers, so that Spark opens these files only.
+        text = text.filter(F.col("_metadata.file_path").isin(names))
+    return text.select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        # Lines of a split are read in order by one task.
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
 def profile_landing(spark, path):
-    """One row per file: its header, whether all of it is UTF-8, whether a record is a line."""
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("line"),
+    """One row per file: header, whether all is UTF-8 and each record a line, last split's start."""
+    in_first = F.col("block_start") == 0
+    return (
+        _lines(spark, path)
+        .groupBy("file_path")
+        .agg(
+            F.min_by(F.when(in_first, F.col("value")), F.when(in_first, F.col("line"))).alias(
+                "header"
+            ),
+            F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+            F.bool_and(F.col("value").rlike(_WHOLE_RECORD)).alias("one_line_records"),
+            F.max("block_start").alias("last_split"),
         )
     )
-    # Lines of a file's first block are read in order by one task.
-    first_block = F.col("block_start") == 0
-    return lines.groupBy("file_path").agg(
-        F.min_by(F.when(first_block, F.col("value")), F.when(first_block, F.col("line"))).alias(
-            "header"
-        ),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.bool_and(F.col("value").rlike(_WHOLE_RECORD)).alias("one_line_records"),
-    )
 
 
-def read_landing_csv(spark, path, columns=LANDING_CSV_COLUMNS, na_tokens=NA_TOKENS):
+def _layouts(spark, path, large):
+    """Names of the files of each layout."""
+    # One short row per file, as Spark's own file listing holds on the driver.
+    rows = profile_landing(spark, path).collect()
+    spanning = [
+        row["file_path"]
+        for row in rows
+        if row["last_split"] >= large and not row["one_line_records"]
+    ]
+    plain = set()
+    if spanning:
+        latin = [row["file_path"] for row in rows if not row["utf8"]]
+        found = are_plain(assemble_records(_split_lines(spark, path, spanning, latin)))
+        plain = {row["file_path"] for row in found.filter("plain").collect()}
+    files = {}
+    for row in rows:
+        records = BY_LINE if row["one_line_records"] else BY_FILE
+        if row["file_path"] in plain:
+            records = BY_QUOTES
+        layout = Layout(row["header"] or "", row["utf8"], records)
+        files.setdefault(layout, []).append(row["file_path"])
+    return files
+
+
+def _split_lines(spark, path, names, latin):
+    """Decoded lines of the named files, cut at line feeds only: a quoted CR LF stays whole."""
+    lines = _lines(spark, path, names, lineSep="\n")
+    decoded = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    is_latin = F.col("file_path").isin(latin)
+    return lines.withColumn("value", F.when(is_latin, decoded).otherwise(F.col("value")))
+
+
+def read_landing_csv(
+    spark,
+    path,
+    columns=LANDING_CSV_COLUMNS,
+    na_tokens=NA_TOKENS,
+    large_file_bytes=LARGE_FILE_BYTES,
+):
     """All records of the CSV files under a folder, as strings in the given columns.
 
     A file that is not UTF-8 throughout is read as Latin-1. Records with too many fields are
     skipped, short ones are padded with NULL, and missing-value tokens become NULL. Files may
     order their columns differently; a column a file lacks is NULL.
 
-    Files whose records are all single lines are split among tasks. Only a file that quotes a
-    line break needs one task to itself, since its splits cannot be parsed apart.
+    Files are split among tasks, but one that quotes line breaks is a single task, up to
+    large_file_bytes. Beyond that it is split as well, unless it is irregularly quoted.
     """
-    return drop_overlong(all_records(spark, path, columns, na_tokens))
+    return drop_overlong(all_records(spark, path, columns, na_tokens, large_file_bytes))
 
 
 def drop_overlong(records):
     return records.filter(~F.col("overlong")).drop("overlong")
 
 
-def all_records(spark, path, columns=LANDING_CSV_COLUMNS, na_tokens=NA_TOKENS):
+def all_records(
+    spark,
+    path,
+    columns=LANDING_CSV_COLUMNS,
+    na_tokens=NA_TOKENS,
+    large_file_bytes=LARGE_FILE_BYTES,
+):
     """As read_landing_csv, with over-long records kept and marked in `overlong`."""
-    # One short row per file, as Spark's own file listing holds on the driver.
-    files = {}
-    for row in profile_landing(spark, path).collect():
-        layout = Layout(row["header"] or "", row["utf8"], row["one_line_records"])
-        files.setdefault(layout, []).append(row["file_path"])
+    files = _layouts(spark, path, large_file_bytes)
     if not files:
         fields = [T.StructField(name, T.StringType()) for name in columns]
         return spark.createDataFrame(
@@ -91,30 +149,45 @@ def all_records(spark, path, columns=LANDING_CSV_COLUMNS, na_tokens=NA_TOKENS):
     others = [name for layout, names in files.items() if layout != common for name in names]
     parts = []
     for layout, names in files.items():
-        chosen = F.col("_metadata.file_path").isin(names)
-        if layout == common:
-            chosen = ~F.col("_metadata.file_path").isin(others) if others else None
-        parts.append(_read_layout(spark, path, layout, columns, na_tokens, chosen))
+        if layout.records == BY_QUOTES:
+            parsed = _join_by_quotes(spark, path, layout, names)
+        else:
+            chosen = F.col("_metadata.file_path").isin(names)
+            if layout == common:
+                chosen = ~F.col("_metadata.file_path").isin(others) if others else F.lit(True)
+            parsed = _parse_files(spark, path, layout, chosen)
+        parts.append(_shape(parsed, layout, columns, na_tokens))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _read_layout(spark, path, layout, columns, na_tokens, chosen):
-    names = layout.columns
-    fields = [T.StructField(name, T.StringType()) for name in [*names, _MALFORMED]]
-    df = (
+def _parse_files(spark, path, layout, chosen):
+    fields = [T.StructField(name, T.StringType()) for name in [*layout.columns, _MALFORMED]]
+    return (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("escape", '"')
-        .option("multiLine", not layout.one_line_records)
+        .option("multiLine", layout.records == BY_FILE)
         .option("encoding", layout.encoding)
         .option("columnNameOfCorruptRecord", _MALFORMED)
         # Else a narrow query parses a narrow record and sees no excess fields.
         .option("columnPruning", False)
         .option("recursiveFileLookup", True)
         .csv(path)
+        .filter(chosen)
     )
-    if chosen is not None:
-        df = df.filter(chosen)
+
+
+def _join_by_quotes(spark, path, layout, names):
+    lines = _split_lines(spark, path, names, [] if layout.utf8 else names)
+    records = assemble_records(lines).filter("record > 1 AND text <> ''")
+    quoted = [name.replace("`", "``") for name in [*layout.columns, _MALFORMED]]
+    schema = ", ".join(f"`{name}` string" for name in quoted)
+    options = {"escape": '"', "columnNameOfCorruptRecord": _MALFORMED}
+    return records.select(F.from_csv("text", schema, options).alias("row")).select("row.*")
+
+
+def _shape(parsed, layout, columns, na_tokens):
+    names = layout.columns
     # Spark keeps the text of a record whose field count is off; count its separators. A scan may
     # not ask for that text alone, hence the harmless look at the first column.
     outside_quotes = F.regexp_replace(F.col(_MALFORMED), _QUOTED_FIELD, "")
@@ -126,4 +199,4 @@ def _read_layout(spark, path, layout, columns, na_tokens, chosen):
         else F.lit(None).cast("string").alias(name)
         for name in columns
     ]
-    return df.select(*values, overlong.alias("overlong"))
+    return parsed.select(*values, overlong.alias("overlong"))

@@ -1,9 +1,18 @@
+import csv
 import os
+import random
 
 import pytest
 
 from shelfmark.schemas import LANDING_CSV_COLUMNS
-from shelfmark.sources.landing import all_records, profile_landing, read_landing_csv
+from shelfmark.sources.landing import (
+    BY_FILE,
+    BY_QUOTES,
+    _layouts,
+    all_records,
+    profile_landing,
+    read_landing_csv,
+)
 
 HEADER = ",".join(LANDING_CSV_COLUMNS) + "\n"
 
@@ -112,3 +121,69 @@ def test_splits_of_a_large_file_are_read_apart(spark, land, folder):
         assert records.select("ISBN").distinct().count() == records.count() == 20_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def write_rows(path, rows, encoding, line_end):
+    with open(path, "w", encoding=encoding, newline="") as file:
+        writer = csv.writer(file, lineterminator=line_end)
+        writer.writerow(LANDING_CSV_COLUMNS)
+        writer.writerows(rows)
+
+
+def random_rows(rng, count, fields=8):
+    def text():
+        parts = ["a", "é", '"', ",", "\n", "\n\n", " ", "x" * rng.randrange(300), "5 in"]
+        return "".join(rng.choice(parts) for _ in range(rng.randrange(6)))
+
+    return [[f"{n:05d}", *[text() for _ in range(fields - 2)], "end"] for n in range(count)]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "latin1"])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_records_that_cross_splits(spark, folder, small_splits, encoding, line_end):
+    os.makedirs(folder, exist_ok=True)
+    rng = random.Random(7)
+    expected = []
+    for name in ("a.csv", "b.csv"):
+        rows = random_rows(rng, 150)
+        rows[20] = ["00020", "\n".join(f"line {n}, " * 5 for n in range(200)), *[""] * 5, "end"]
+        write_rows(f"{folder}/{name}", rows, encoding, line_end)
+        expected += rows
+    layouts = _layouts(spark, folder, large=1)
+    assert [layout.records for layout in layouts] == [BY_QUOTES]
+    records = read_landing_csv(spark, folder, na_tokens=[""], large_file_bytes=1)
+    found = sorted([value or "" for value in row] for row in records.collect())
+    assert found == sorted(expected)
+    assert records.select("Publisher").count() == 300
+
+
+def test_overlong_records_that_cross_splits(spark, folder, small_splits):
+    os.makedirs(folder, exist_ok=True)
+    rows = random_rows(random.Random(3), 80)
+    for row in rows[::4]:
+        row.append("extra")
+    for row in rows[1::4]:
+        del row[2:]
+    write_rows(f"{folder}/a.csv", rows, "utf-8", "\n")
+    found = [row["ISBN"] for row in read_landing_csv(spark, folder, large_file_bytes=1).collect()]
+    assert sorted(found) == sorted(row[0] for row in rows if len(row) <= 8)
+    assert all_records(spark, folder, large_file_bytes=1).filter("overlong").count() == 20
+
+
+def test_irregular_quotes_are_left_to_one_task(spark, folder, small_splits):
+    os.makedirs(folder, exist_ok=True)
+    lines = [f'{n},5" disk,"two\nlines",2000,P,s,m,{"x" * 100}\n' for n in range(100)]
+    with open(f"{folder}/a.csv", "w") as file:
+        file.write(HEADER + "".join(lines))
+    assert [layout.records for layout in _layouts(spark, folder, large=1)] == [BY_FILE]
+    found = read_landing_csv(spark, folder, large_file_bytes=1).collect()
+    assert len(found) == 100
+    assert {(row["Book-Title"], row["Book-Author"]) for row in found} == {('5" disk', "two\nlines")}
