@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 _QUOTED = r""""[^"]*+"|'[^']*+'"""
 _REST_OF_TAG = rf"(?>[^>\"']++|{_QUOTED})*+>"
 _VALUE = rf"""({_QUOTED}|[^\s"'>]+)"""
+_NAME_END = r"(?![\w:-])"
 # Names of tags and attributes ignore case; class tokens do not.
 _CLASS = r"\s(?i:class)\s*=\s*"
 
 
 def _until_closed(tag):
     """Everything up to the first closing tag, without backtracking."""
-    return rf"[^<]*+(?:<(?!/(?i:{tag})\b)[^<]*+)*+"
+    return rf"[^<]*+(?:<(?!/(?i:{tag}){_NAME_END})[^<]*+)*+"
 
 
 _COMMENT = r"!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
 _CODE = "|".join(
-    rf"(?i:{tag})\b{_until_closed(tag)}</(?i:{tag})\s*>" for tag in ("script", "style")
+    rf"(?i:{tag}){_NAME_END}{_until_closed(tag)}</(?i:{tag})\s*>" for tag in ("script", "style")
 )
 _NOISE = f"<(?:{_COMMENT}|{_CODE})"
 
@@ -48,8 +49,8 @@ def opening_tag(html, tag, css_class=None, within=None):
     wanted = _open(tag, css_class)
     if within is None:
         return F.regexp_extract(html, wanted, 0)
-    before = rf"[^<]*+(?:<(?!(?i:{within})\b)[^<]*+)*+"
-    between = rf"[^<]*+(?:<(?!(?:{wanted[1:]})|/(?i:{within})\b)[^<]*+)*+"
+    before = rf"[^<]*+(?:<(?!(?i:{within}){_NAME_END})[^<]*+)*+"
+    between = rf"[^<]*+(?:<(?!(?:{wanted[1:]})|/(?i:{within}){_NAME_END})[^<]*+)*+"
     return F.regexp_extract(html, f"^{before}{_open(within, None)}{between}({wanted})", 1)
 
 
@@ -73,13 +74,14 @@ def unescape(col):
 
 def _open(tag, css_class):
     if css_class is None:
-        return rf"<(?i:{tag})\b{_REST_OF_TAG}"
+        return rf"<(?i:{tag}){_NAME_END}{_REST_OF_TAG}"
     name = re.escape(css_class)
     skip = rf"(?>(?!{_CLASS})(?:[^>\"']|{_QUOTED}))*+"
     double = rf'"(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
     single = rf"'(?:[^']*\s)?{name}(?:\s[^']*)?'"
     bare = rf"{name}(?=[\s>])"
-    return rf"<(?i:{tag})\b(?={skip}{_CLASS}(?:{double}|{single}|{bare})){_REST_OF_TAG}"
+    has_class = rf"(?={skip}{_CLASS}(?:{double}|{single}|{bare}))"
+    return rf"<(?i:{tag}){_NAME_END}{has_class}{_REST_OF_TAG}"
 
 
 def _element(tag, css_class):

@@ -9,8 +9,9 @@ def read_bronze(spark, layers, source, fmt=None, multi_line=False, file_column=N
     """Every batch of a Bronze source, whatever folder or file below it holds it.
 
     `multi_line` reads JSON files that hold one array each instead of one record per line; such
-    a file is one task. CSV is always read with quoted line breaks allowed: the writer bounds
-    the size of its files. `file_column` adds the file each row came from.
+    a file is one task. CSV is always read with quoted line breaks allowed, as the writer bounds
+    the size of its files, and a file whose header is not the declared one is an error.
+    `file_column` adds the file each row came from.
     """
     fmt = fmt or batch_format(source)
     reader = spark.read.schema(BRONZE[source]).option("recursiveFileLookup", True)
@@ -33,7 +34,7 @@ def batch_format(source):
 
 def _read_options(fmt, multi_line):
     if fmt == "csv":
-        return {"header": True, "escape": '"', "multiLine": True}
+        return {"header": True, "enforceSchema": False, "escape": '"', "multiLine": True}
     if fmt == "json":
         return {"multiLine": multi_line}
     return {}

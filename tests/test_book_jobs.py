@@ -249,6 +249,16 @@ def test_bronze_reads_array_files(spark, folder):
     assert silver_web(empty).count() == 0
 
 
+def test_a_bronze_csv_with_another_header_is_an_error(spark, folder):
+    layers = Layers.under(folder)
+    write_batch(spark.createDataFrame([book()], S.BRONZE_CSV), layers, "csv", DAY1)
+    assert read_bronze(spark, layers, "csv").select("ISBN").first()[0] == "1"
+    other = spark.createDataFrame([book()], S.BRONZE_CSV).select(*reversed(S.BRONZE_CSV.names))
+    write_batch(other, layers, "csv", DAY2)
+    step = run_silver(spark, layers, ["csv"], raise_on_error=False).first()
+    assert step["status"] == "ERROR" and "books_20250102" in step["error"]
+
+
 def test_tables_are_replaced_whole(spark, folder):
     overwrite_table(spark.range(10), f"{folder}/t")
     overwrite_table(spark.range(3), f"{folder}/t")

@@ -107,6 +107,12 @@ def test_escaped_titles_come_back(spark, titles):
     assert sorted(row[0] for row in found) == sorted(titles)
 
 
+def test_tags_that_only_begin_alike_are_other_tags(spark):
+    longer = card("x").replace("<p class", "<p-x class='instock'>no</p-x><pre>no</pre><p class")
+    found = cards_from_pages(pages(spark, longer))
+    assert read(found) == [("x", 51.77, 3, "In stock")]
+
+
 def test_elements_attributes_and_text(spark):
     df = spark.createDataFrame([('<p id=a>x <b>y</b></p><p class="k l" data-id="q">z</p>',)], ["h"])
     row = df.select(
