@@ -188,8 +188,16 @@ def _run(name, work):
             path,
         )
     except Exception as error:  # a step reports its failure and lets the others run
-        text = str(error).strip().splitlines()[0] if str(error).strip() else repr(error)
-        return Step(name, "ERROR", seconds=time.monotonic() - start, error=text)
+        return Step(name, "ERROR", seconds=time.monotonic() - start, error=_reason(error))
+
+
+def _reason(error):
+    """The first lines of the innermost message."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None and cause.getCause() is not None:
+        cause = cause.getCause()
+    text = str(error) if cause is None else cause.toString()
+    return "\n".join(text.strip().splitlines()[:5]) or repr(error)
 
 
 def _each(spark, job, items, parallel):
