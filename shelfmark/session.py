@@ -64,6 +64,11 @@ class Layers:
     silver: str = "s3a://silver"
     gold: str = "s3a://gold"
 
+    @classmethod
+    def from_env(cls, env=os.environ):
+        roots = {name: env.get(f"{name.upper()}_ROOT") for name in ("bronze", "silver", "gold")}
+        return cls(**{name: root for name, root in roots.items() if root})
+
     @classmethod
     def under(cls, root):
         root = root.rstrip("/")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark import schemas as S
+from shelfmark.__main__ import main
 from shelfmark.plans.gold import (
     GOLD_JOBS,
     gold_by_year,
@@ -370,9 +371,24 @@ def test_only_the_given_sources_run(spark, folder, inputs):
     }
 
 
+def test_command_line(spark, folder, inputs, capsys):
+    roots = [f"--{layer}={folder}/{layer}" for layer in ("bronze", "silver", "gold")]
+    raw = [f"--pages={inputs.pages}", f"--landing-csv={inputs.landing_csv}"]
+    assert main([*roots, "bronze", *raw]) == 0
+    assert main([*roots, "silver", "--sources", "web", "csv"]) == 0
+    assert main([*roots, "gold", "--tables", "top_rated_books"]) == 0
+    assert "gold/top_rated_books" in capsys.readouterr().out
+    assert main([*roots, "silver"]) == 1
+    assert main([*roots, "all", *raw, f"--responses={inputs.responses}", "--max-pages", "1"]) == 0
+
+
 # --- Session ---
 
 
+def test_layer_roots_from_the_environment():
+    assert Layers.from_env({"GOLD_ROOT": "s3a://g"}) == Layers(gold="s3a://g")
+
+
 def test_object_store_settings():
     env = {"S3_ENDPOINT_URL": "http://store:9000", "AWS_ACCESS_KEY_ID": "a"}
     conf = SessionSpec(store=ObjectStore.from_env(env), jars=("x.jar", "y.jar")).conf()
