@@ -7,7 +7,7 @@ import pytest
 from shelfmark import schemas as S
 from shelfmark.plans.gold import gold_by_year, gold_price_stats, gold_top_rated
 from shelfmark.plans.silver import silver_api, silver_csv, silver_web
-from shelfmark.sinks.tables import overwrite_table
+from shelfmark.sinks.tables import RowCount, overwrite_table
 from shelfmark.sources.pages import cards_from_pages
 from shelfmark.sources.responses import works_from_responses
 
@@ -65,6 +65,11 @@ def test_gold_reads_the_columns_it_needs(stored):
     assert "TakeOrderedAndProject" in plan(top) and shuffles(top) == 0
 
 
+def test_counting_rows_keeps_a_scan_narrow(stored):
+    watched = RowCount().watch(stored("counted", S.SILVER_CSV))
+    assert columns_read(gold_by_year(watched)) == {"year", "author", "publisher"}
+
+
 def test_extraction_moves_no_rows(stored):
     cards = cards_from_pages(stored("pages", S.RAW_PAGES))
     assert columns_read(cards) == {"html"}
