@@ -16,7 +16,6 @@ from .functions.columns import (
     batch_stamp,
     clean_price,
     lookup,
-    rating_from_word,
     safe_double,
     safe_int,
     strip_ws,
@@ -122,7 +121,13 @@ def shipments_by_year(spark, folder):
 def price_stats(spark, folder):
     part = table(spark, folder, "part").withColumn("price", F.col("p_retailprice").cast("float"))
     return number_stats(
-        part, "p_size", "price", rows="n_parts", low="min_price", high="max_price", mean="mean_price"
+        part,
+        "p_size",
+        "price",
+        rows="n_parts",
+        low="min_price",
+        high="max_price",
+        mean="mean_price",
     )
 
 
@@ -257,7 +262,8 @@ def cast_safe(spark, folder):
         .when(F.col("l_returnflag") == "N", F.concat(number, F.lit("."), number))
         .when(F.col("l_returnflag") == "R", F.concat(number, F.lit("e3")))
     )
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", form.alias("form"))
+    lines = table(spark, folder, "lineitem")
+    lines = lines.select("l_orderkey", "l_linenumber", form.alias("form"))
     return lines.withColumns(
         {
             "as_int": F.coalesce(safe_int("form"), F.lit(-1)),
@@ -492,7 +498,13 @@ def book_dump(orders):
     text = {
         "ISBN": F.col("o_custkey").cast("string"),
         "Book-Title": F.concat(
-            F.lit("  "), "o_orderpriority", F.lit(', "'), status, F.lit('"\n'), "o_orderkey", F.lit(" ")
+            F.lit("  "),
+            "o_orderpriority",
+            F.lit(', "'),
+            status,
+            F.lit('"\n'),
+            "o_orderkey",
+            F.lit(" "),
         ),
         "Book-Author": F.concat(F.lit(" "), status, F.col("o_orderkey") % 50, F.lit(" ")),
         "Year-Of-Publication": F.when(status == "F", F.concat(year, F.lit(".0")))

@@ -7,6 +7,7 @@ from ..functions.columns import clean_price, rating_from_word, strip_ws, token
 from ..operators.rows import spread
 from ..schemas import RAW_PAGES
 
+# Fixed value: the `source` of these records.
 WEB_SOURCE = "books.toscrape.com"
 
 _PAGE_NUMBER = r"page-([0-9]+)\.html"

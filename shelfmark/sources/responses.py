@@ -6,6 +6,7 @@ from ..functions.fields import field, has_field
 from ..operators.rows import spread
 from ..schemas import RAW_RESPONSES
 
+# Fixed value: the `source` of these records.
 API_SOURCE = "openlibrary_api"
 
 _BODY = "struct<works: array<variant>>"

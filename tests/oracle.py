@@ -31,8 +31,8 @@ def differences(got, connection, sql):
     for name in want.columns:
         unequal = (got[name] != want[name]) & ~(got[name].isna() & want[name].isna())
         if unequal.any():
-            at = unequal.idxmax()
-            reasons.append(f"{name}: {got[name][at]!r} != {want[name][at]!r} ({unequal.sum()} rows)")
+            at, rows = unequal.idxmax(), unequal.sum()
+            reasons.append(f"{name}: {got[name][at]!r} != {want[name][at]!r} ({rows} rows)")
     return reasons
 
 

@@ -150,7 +150,8 @@ def test_silver_api(spark):
 def test_gold_top_rated(spark):
     data = [(f"Book {i:02d}", float(i), i % 5 + 1, "In stock") for i in range(50)]
     data += [("unrated", 0.5, None, "x"), ("tie", 4.0, 5, "x")]
-    df = spark.createDataFrame(data, "title string, price_gbp float, rating int, availability string")
+    columns = "title string, price_gbp float, rating int, availability string"
+    df = spark.createDataFrame(data, columns)
     top = gold_top_rated(df)
     assert top.columns == ["title", "price_gbp", "rating", "availability"]
     found = [tuple(row) for row in top.collect()]
@@ -160,7 +161,8 @@ def test_gold_top_rated(spark):
 
 
 def test_gold_by_year(spark):
-    data = [("2", 2020, "A", "P"), ("1", 2020, "A", "Q"), ("3", 2021, None, "P"), ("4", None, "A", "P")]
+    data = [("2", 2020, "A", "P"), ("1", 2020, "A", "Q"), ("3", 2021, None, "P")]
+    data += [("4", None, "A", "P")]
     df = spark.createDataFrame(data, "isbn string, year int, author string, publisher string")
     found = gold_by_year(df)
     assert found.columns == ["year", "nombre_livres", "nombre_auteurs", "nombre_editeurs"]
@@ -169,7 +171,8 @@ def test_gold_by_year(spark):
 
 def test_gold_price_stats(spark):
     df = spark.createDataFrame(
-        [("A", 10.0, 5), ("B", 20.0, 5), ("C", 15.0, 4)], "title string, price_gbp float, rating int"
+        [("A", 10.0, 5), ("B", 20.0, 5), ("C", 15.0, 4)],
+        "title string, price_gbp float, rating int",
     )
     found = gold_price_stats(df)
     assert found.columns == ["rating", "nombre_livres", "prix_min", "prix_max", "prix_moyen"]
