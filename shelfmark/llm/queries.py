@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .bpe import encode_summary
+from .quality import STOP_WORDS, judge
 from .token_count import count_tokens
 
 QUERIES = {}
@@ -33,3 +34,59 @@ def op7_token_count(spark, folder):
     """Bytes and tokens of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path(TOKENIZER)).drop("text")
+
+
+_SPELLED = ", ".join(
+    f"'{form}'" for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())
+)
+ORACLE["op6_quality"] = f"""
+    WITH base AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents),
+    windows AS (
+        SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM base)),
+    twice AS (
+        SELECT doc_id, unnest([i, i + 1, i + 2]) AS place
+        FROM windows
+        JOIN (SELECT doc_id, gram FROM windows GROUP BY ALL HAVING count(*) > 1)
+            USING (doc_id, gram)),
+    repeats AS (SELECT doc_id, count(DISTINCT place) AS n FROM twice GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, count(*) AS n_lines, count(DISTINCT line) AS n_distinct
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM base)
+        WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+    counts AS (
+        SELECT doc_id, len(w) AS n_words,
+               length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+               length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(n_lines - n_distinct, 0) AS n_dup_lines,
+               coalesce(n_lines, 0) AS n_lines,
+               coalesce(repeats.n, 0) AS n_repeat_words,
+               len(list_filter(w, lambda x: x IN ({_SPELLED}))) AS n_stop_words
+        FROM base LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+    judged AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND 100 * word_chars BETWEEN 300 * n_words AND 1000 * n_words
+               AND 100 * n_symbols <= 10 * n_words AND 100 * n_stop_words >= 2 * n_words
+               AND 100 * n_dup_lines <= 50 * n_lines AS kept
+    FROM judged
+"""
+
+
+@query
+def op6_quality(spark, folder):
+    """Counts and verdict of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return judge(docs).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
