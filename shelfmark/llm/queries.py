@@ -5,11 +5,20 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_summary
 from .quality import STOP_WORDS, judge
+from .sharding import assign_shards
 from .token_count import count_tokens
+from .url_rules import judge_urls
 
 QUERIES = {}
 ORACLE = {}
 
+SHARD_BYTES = 1 << 20
+URL_RULES = [
+    ("net/", "block"),
+    ("example.net/en/", "allow"),
+    ("example.com/de/", "block"),
+    ("org/fr/", "allow"),
+]
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -90,3 +99,42 @@ def op6_quality(spark, folder):
         "base_failed",
         "kept",
     )
+
+
+_RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
+ORACLE["op2_url_filter"] = f"""
+    WITH rests AS (
+        SELECT page_id, CASE WHEN instr(url, '://') > 0
+               THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    urls AS (
+        SELECT page_id,
+               translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+    rules AS (
+        SELECT rule, verdict, split_part(rule, '/', 1) AS rule_host,
+               substr(rule, instr(rule, '/')) AS rule_path
+        FROM (VALUES {_RULE_ROWS}) AS t(rule, verdict)),
+    fitting AS (
+        SELECT page_id, arg_max(rule, length(rule)) AS rule,
+               arg_max(verdict, length(rule)) AS verdict
+        FROM urls JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+            AND starts_with(path, rule_path)
+        GROUP BY page_id)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+    FROM urls LEFT JOIN fitting USING (page_id)
+"""
+
+
+@query
+def op2_url_filter(spark, folder):
+    """Host, path, deciding rule and verdict of every page."""
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query
+def op5_sharding(spark, folder):
+    """Shard of every document, for shards of at most 1 MiB of text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return assign_shards(docs, ["doc_id"], SHARD_BYTES).drop("text")
