@@ -4,6 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .bpe import encode_summary
+from .decontaminate import mark
+from .near_dup import near_duplicates
 from .quality import STOP_WORDS, judge
 from .sharding import assign_shards
 from .token_count import count_tokens
@@ -138,3 +140,17 @@ def op5_sharding(spark, folder):
     """Shard of every document, for shards of at most 1 MiB of text."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return assign_shards(docs, ["doc_id"], SHARD_BYTES).drop("text")
+
+
+@query
+def op3_near_duplicates(spark, folder):
+    """Group of every document by near-equal texts."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_duplicates(docs).drop("text")
+
+
+@query
+def op9_decontamination(spark, folder):
+    """Benchmark items in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return mark(docs, table(spark, folder, "benchmark")).drop("text")
