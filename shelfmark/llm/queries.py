@@ -7,6 +7,7 @@ from .bpe import encode_summary
 from .decontaminate import mark
 from .near_dup import near_duplicates
 from .quality import STOP_WORDS, judge
+from .secrets import example_findings, scan, train
 from .sharding import assign_shards
 from .token_count import count_tokens
 from .url_rules import judge_urls
@@ -154,3 +155,16 @@ def op9_decontamination(spark, folder):
     """Benchmark items in every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return mark(docs, table(spark, folder, "benchmark")).drop("text")
+
+
+@query
+def op10_secret_scan(spark, folder):
+    """Candidates, secrets and the redacted text of every document, the text as a digest."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return scan(docs, train(example_findings(spark))).select(
+        "doc_id",
+        F.size("findings").cast("bigint").alias("n_candidates"),
+        F.size("secrets").cast("bigint").alias("n_secrets"),
+        "secrets",
+        F.sha2("redacted", 256).alias("redacted_sha256"),
+    )
