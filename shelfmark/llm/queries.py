@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .bpe import encode_summary
 from .decontaminate import mark
 from .near_dup import near_duplicates
@@ -168,3 +169,12 @@ def op10_secret_scan(spark, folder):
         "secrets",
         F.sha2("redacted", 256).alias("redacted_sha256"),
     )
+
+
+@query
+def op4_toxicity(spark, folder):
+    """Score of every document, from labels that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    trained = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, trained).drop("text")
+    return scored.withColumn("held_out", toxicity.held_out())
