@@ -17,7 +17,7 @@ from .vocabulary import NEVER, read_model, shared_vocabulary
 _SHORT = 48
 _CACHED_WORDS = 600_000
 _CACHED_LENGTH = 64
-_SLICE_CHARS = 4_000_000
+_SLICE_CHARS = 2_000_000
 
 
 def greedy(vocabulary, word):
@@ -155,15 +155,16 @@ def _encoder(model):
     return _ENCODERS[id(vocabulary)]
 
 
-def slices(texts, chars=_SLICE_CHARS):
-    """Runs of texts of a bounded size, so that one Arrow batch is not held as words at once."""
+def slices(texts, chars=_SLICE_CHARS, rows=500):
+    """An Arrow array as lists of texts of a bounded size, so that no batch is held as words at once."""
     run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text or "")
-        if size >= chars:
-            yield run
-            run, size = [], 0
+    for at in range(0, len(texts), rows):
+        for text in texts.slice(at, rows).to_pylist():
+            run.append(text)
+            size += len(text or "")
+            if size >= chars:
+                yield run
+                run, size = [], 0
     if run:
         yield run
 
@@ -176,7 +177,7 @@ def _encode_udf(model, summary):
     def encoded(texts: pa.Array) -> pa.Array:
         encoder = _encoder(model)
         counts, ids_sha, text_sha, lists = [], [], [], []
-        for run in slices(texts.to_pylist()):
+        for run in slices(texts):
             for raw in encoder.encode(run):
                 ids = np.frombuffer(raw, "<u4")
                 if not summary:

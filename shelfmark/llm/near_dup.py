@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import slices
 from .graph import components
 from .scratch import stored
 
@@ -27,7 +28,7 @@ _COORDINATES = BANDS * ROWS
 # Bytes of two sketches that agree, at least, for sets that reach the threshold: the expected share
 # less six standard deviations. It only spares the exact comparison in the last step.
 _DEVIATIONS = 6
-_SLICE_CHARS = 2_000_000
+_SLICE_CHARS = 500_000
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**64 - 1, 256, np.uint64)
@@ -113,10 +114,8 @@ def _sketch_udf(size):
 
     @F.arrow_udf(kind)
     def sketched(texts: pa.Array) -> pa.Array:
-        from .bpe import slices
-
         digests, counts, bands, sketches = [], [], [], []
-        for run in slices(texts.to_pylist(), _SLICE_CHARS):
+        for run in slices(texts, _SLICE_CHARS):
             words = [normal_words(text) for text in run]
             digests.extend(map(digest, words))
             for own in shingle_hashes(words, size):
@@ -139,7 +138,8 @@ def _sketch_udf(size):
 
 @F.arrow_udf(T.BinaryType())
 def _digest_udf(texts: pa.Array) -> pa.Array:
-    return pa.array([digest(normal_words(text)) for text in texts.to_pylist()], pa.binary())
+    runs = slices(texts, _SLICE_CHARS)
+    return pa.array([digest(normal_words(text)) for run in runs for text in run], pa.binary())
 
 
 def _similar_udf(size, percent):

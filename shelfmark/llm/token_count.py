@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from .bpe import slices
 from .vocabulary import read_model, shared_vocabulary
 
 _SLICE_CHARS = 2_000_000
@@ -290,10 +291,8 @@ def count_tokens(docs, path, text="text", limit=512):
 
     @F.arrow_udf("bigint")
     def counted(texts: pa.Array) -> pa.Array:
-        from .bpe import slices
-
         counter = _counter(model)
-        runs = [counter.count(run) for run in slices(texts.to_pylist(), _SLICE_CHARS)]
+        runs = [counter.count(run) for run in slices(texts, _SLICE_CHARS)]
         return pa.array(np.concatenate([*runs, np.zeros(0, np.int64)]), pa.int64())
 
     return docs.withColumns(
