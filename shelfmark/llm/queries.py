@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from . import toxicity
 from .bpe import encode_summary
 from .decontaminate import mark
+from .html_text import extract_text
 from .near_dup import near_duplicates
 from .quality import STOP_WORDS, judge
 from .secrets import example_findings, scan, train
@@ -178,3 +179,10 @@ def op4_toxicity(spark, folder):
     trained = toxicity.train(docs, table(spark, folder, "labels"))
     scored = toxicity.score(docs, trained).drop("text")
     return scored.withColumn("held_out", toxicity.held_out())
+
+
+@query
+def op8_html_text(spark, folder):
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract_text(pages).drop("html")
