@@ -7,18 +7,18 @@ learned for the beginnings of restored words, from labelled rows, and a logistic
 evidence in a text into a score.
 """
 
-import math
 import re
+from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 from .scratch import stored
 
 #: At most so many labelled rows are learned from, those with the smallest hash of their id.
-MAX_LABELS = 60_000
+MAX_LABELS = 20_000
 THRESHOLD = 0.7
 _PREFIXES = (4, 5, 6, 7)
 _LEAST_CONTEXTS = 4  # different neighbours that a beginning must occur with in toxic texts
@@ -219,50 +219,67 @@ def _learning_rows(docs, labels, id, text, label, max_labels):
     return held.join(F.broadcast(chosen), "id").withColumn("fold", (rest / 2).cast("int"))
 
 
-def _learn_evidence(rows, model):
-    """(`fold`, `feature`, `toxic`, `n`): different contexts of each beginning, by label.
+def _occurrences(text, reader):
+    """Distinct (word, before, after) of a text, and the beginnings of its restored words."""
+    words, spaced = plain_words(text)
+    around = ["", *words, ""]
+    places = {*zip(words, around, around[2:], strict=False), *((w, "", "") for w in spaced)}
+    return places, {w: beginnings(reader.restored(w)) for w in {place[0] for place in places}}
 
-    The context is the words before and after, so that copies of a text count once. Beginnings
-    that only clean texts hold carry no evidence and are left out by a semi-join.
+
+def _toxic_counts(rows, model):
+    """(`fold`, `feature`, `toxic`): different contexts of each beginning in toxic texts.
+
+    The context is the words before and after, so that copies of a text count once.
+    """
+
+    def used(batches):
+        reader = Reader(model.value)
+        for batch in batches:
+            for text, fold in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                places, features = _occurrences(text, reader)
+                found = {(f, hash_pair(a, b)) for word, a, b in places for f in features[word]}
+                columns = [
+                    pa.array([fold] * len(found), pa.int32()),
+                    pa.array([f for f, _ in found], pa.string()),
+                    pa.array([c for _, c in found], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["fold", "feature", "context"])
+
+    rows = rows.filter("toxic = 1").select("text", "fold")
+    places = rows.mapInArrow(used, "fold int, feature string, context bigint").distinct()
+    return places.groupBy("fold", "feature").agg(F.count("*").alias("toxic"))
+
+
+def _clean_counts(rows, model, wanted):
+    """(`fold`, `feature`, `clean`): occurrences of the wanted beginnings in clean texts.
+
+    Batches are summed before anything is shuffled.
     """
+    wanted = rows.sparkSession.sparkContext.broadcast(frozenset(wanted))
 
     def used(batches):
         reader = Reader(model.value)
         for batch in batches:
-            found = {}
-            for text, toxic, fold in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                words, spaced = plain_words(text)
-                around = ["", *words, ""]
-                near = [*zip(around, words, around[2:], strict=False), *(("", w, "") for w in spaced)]
-                for before, word, after in near:
-                    key = (fold, toxic, word, before, after)
-                    found[key] = None
-            features = {word: beginnings(reader.restored(word)) for word in {k[2] for k in found}}
-            rows = [
-                (fold, toxic, feature, before, after)
-                for fold, toxic, word, before, after in found
-                for feature in features[word]
+            counts = Counter()
+            for text, fold in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                places, features = _occurrences(text, reader)
+                features = {w: [f for f in own if f in wanted.value] for w, own in features.items()}
+                counts.update((fold, f) for word, _, _ in places for f in features[word])
+            columns = [
+                pa.array([fold for fold, _ in counts], pa.int32()),
+                pa.array([f for _, f in counts], pa.string()),
+                pa.array(list(counts.values()), pa.int64()),
             ]
-            if rows:
-                yield pa.RecordBatch.from_pandas(
-                    pd.DataFrame(
-                        {
-                            "fold": pd.array([r[0] for r in rows], "int32"),
-                            "toxic": pd.array([r[1] for r in rows], "int32"),
-                            "feature": [r[2] for r in rows],
-                            "context": pd.array([hash_pair(r[3], r[4]) for r in rows], "int64"),
-                        }
-                    )
-                )
-
-    kind = "fold int, toxic int, feature string, context bigint"
-    return rows.select("text", "toxic", "fold").mapInArrow(used, kind)
+            yield pa.RecordBatch.from_arrays(columns, ["fold", "feature", "n"])
+
+    rows = rows.filter("toxic = 0").select("text", "fold")
+    counts = rows.mapInArrow(used, "fold int, feature string, n bigint")
+    return counts.groupBy("fold", "feature").agg(F.sum("n").alias("clean"))
 
 
 def hash_pair(a, b):
     """A hash that is equal in every worker."""
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(f"{a}\0{b}") - (1 << 63)
 
 
@@ -305,20 +322,18 @@ def train(docs, labels, id="doc_id", text="text", label="toxic", max_labels=MAX_
     model = language_model(count_trigrams(docs, text))
     shared = spark.sparkContext.broadcast(model)
     rows = stored(_learning_rows(docs, labels, id, text, label, max_labels), "toxic-rows")
-    places = stored(_learn_evidence(rows, shared).distinct(), "toxic-places")
-    counts = places.groupBy("fold", "feature").agg(
-        F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")
-    )
-    total = counts.groupBy("feature").agg(F.sum("toxic").alias("all"))
-    total = total.filter(F.col("all") >= _LEAST_CONTEXTS).select("feature")
-    counts = counts.join(total, "feature", "left_semi").toPandas()
-    sums = places.filter(F.length("feature") == 4).groupBy("fold", "toxic").count().toPandas()
+    toxic = _toxic_counts(rows, shared)
+    often = toxic.groupBy("feature").agg(F.sum("toxic").alias("all"))
+    often = often.filter(F.col("all") >= _LEAST_CONTEXTS).select("feature")
+    toxic = toxic.join(often, "feature", "left_semi").toPandas()
+    clean = _clean_counts(rows, shared, set(toxic["feature"])).toPandas()
+    counts = toxic.merge(clean, how="left", on=["fold", "feature"]).fillna({"clean": 0})
+    learned = dict(rows.groupBy("toxic").count().toPandas().itertuples(index=False))
 
     def evidence(folds):
-        own = sums[sums["fold"].isin(folds)].groupby("toxic")["count"].sum()
-        table = counts[counts["fold"].isin(folds)].groupby("feature", as_index=False)
-        table = table[["toxic", "clean"]].sum()
-        table["ratio"] = max(1, own.get(0, 0)) / max(1, own.get(1, 0))
+        own = counts[counts["fold"].isin(folds)].groupby("feature", as_index=False)
+        table = own[["toxic", "clean"]].sum()
+        table["ratio"] = max(1, learned.get(0, 0)) / max(1, learned.get(1, 0))
         return _weights(table)
 
     halves = {0: evidence([1]), 1: evidence([0])}
