@@ -1,26 +1,36 @@
 """Landing CSV files: mixed encodings, layouts and quoting, read without a declared encoding."""
 
 import csv
+import re
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import NA_TOKENS, null_if_in
 from ..schemas import LANDING_CSV_COLUMNS
-from .records import are_plain, assemble_records
+from .records import are_plain, assemble_records, number_lines
 
 _MALFORMED = "_malformed"
 _QUOTED_FIELD = r'"[^"]*+(?:""[^"]*+)*+"'
+# A quote opens a field only where the field begins.
+_WHOLE_QUOTED_FIELD = rf"(?<![^,]){_QUOTED_FIELD}"
 _FIELD = rf'(?>{_QUOTED_FIELD}|(?!")[^,]*+)'
 # A line made of whole fields only. When every line of a file is one, no record spans lines.
 _WHOLE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+$"
 
 
-# One task parses a file up to this size in about a minute.
+# One task parses a file up to this size in about a minute; larger ones are read in splits, with the
+# same rows.
 LARGE_FILE_BYTES = 4 * 1024**3
 
+# A longer first line is no header; it would pass through the driver.
+HEADER_CHARS = 1 << 20
+# Fields that Spark's parser makes room for, unless lines are wider.
+_FIELDS = 20480
+
 # How the records of a file are found.
 BY_LINE = "each line is a record"
 BY_FILE = "one task parses the file"
@@ -34,21 +44,35 @@ class Layout:
     header: str
     utf8: bool
     records: str
+    line_end: str | None
+    fields: int
 
     @property
     def columns(self):
-        return next(csv.reader([self.header]))
+        """Names of the header; repeated ones are numbered, as `a`, `a.1`, `a.2`."""
+        names, seen = [], set()
+        for name in next(csv.reader([self.header])):
+            own, count = name, 0
+            while own in seen:
+                count += 1
+                own = f"{name}.{count}"
+            seen.add(own)
+            names.append(own)
+        return names
 
     @property
     def encoding(self):
         return "UTF-8" if self.utf8 else "ISO-8859-1"
 
 
-def _lines(spark, path, names=None, **options):
-    text = spark.read.options(recursiveFileLookup=True, **options).text(path)
-    if names is not None:
-        # Before the line numbers, so that Spark opens these files only.
-        text = text.filter(F.col("_metadata.file_path").isin(names))
+def _as_paths(names):
+    """File names as Spark reports them, as paths that its readers take literally."""
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in names]
+
+
+def _lines(spark, path):
+    """Lines cut at line feeds only: a quoted CR LF stays whole."""
+    text = spark.read.options(recursiveFileLookup=True, lineSep="\n").text(path)
     return text.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
@@ -59,52 +83,73 @@ def _lines(spark, path, names=None, **options):
 
 
 def profile_landing(spark, path):
-    """One row per file: header, whether all is UTF-8 and each record a line, last split's start."""
-    in_first = F.col("block_start") == 0
+    """One row per file: its header, encoding, kind of lines, and the start of its last split.
+
+    The header is the first line that is not blank.
+    """
+    line = F.regexp_replace("value", "\r$", "")
+    first = F.when((F.col("block_start") == 0) & line.rlike(r"\S"), F.col("line"))
+    returns = F.col("value").endswith("\r")
     return (
         _lines(spark, path)
         .groupBy("file_path")
         .agg(
-            F.min_by(F.when(in_first, F.col("value")), F.when(in_first, F.col("line"))).alias(
-                "header"
-            ),
+            F.min_by(F.left("value", F.lit(HEADER_CHARS + 1)), first).alias("header"),
             F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-            F.bool_and(F.col("value").rlike(_WHOLE_RECORD)).alias("one_line_records"),
+            F.bool_and(line.rlike(_WHOLE_RECORD) & ~line.contains("\r")).alias("one_line_records"),
+            F.bool_and(returns).alias("all_returns"),
+            F.bool_or(returns).alias("any_returns"),
+            F.max(F.length("value") - F.length(F.replace("value", F.lit(",")))).alias("commas"),
             F.max("block_start").alias("last_split"),
         )
     )
 
 
 def _layouts(spark, path, large):
-    """Names of the files of each layout."""
+    """Names of the files of each layout.
+
+    How a file is read depends on its content and on its size, but its rows do not: where one task
+    parses a file, all its lines end alike and records end as its lines do.
+    """
     # One short row per file, as Spark's own file listing holds on the driver.
-    rows = profile_landing(spark, path).collect()
-    spanning = [
-        row["file_path"]
-        for row in rows
-        if row["last_split"] >= large and not row["one_line_records"]
-    ]
+    rows = [row for row in profile_landing(spark, path).collect() if row["header"] is not None]
+    for row in rows:
+        if len(row["header"]) > HEADER_CHARS:
+            raise ValueError(f"the first line of {row['file_path']} is too long for a header")
+    mixed = {row["file_path"] for row in rows if row["any_returns"] and not row["all_returns"]}
     plain = set()
-    if spanning:
-        latin = [row["file_path"] for row in rows if not row["utf8"]]
-        found = are_plain(assemble_records(_split_lines(spark, path, spanning, latin)))
-        plain = {row["file_path"] for row in found.filter("plain").collect()}
+    for utf8 in (True, False):
+        spanning = [
+            row["file_path"]
+            for row in rows
+            if not row["one_line_records"]
+            and row["utf8"] == utf8
+            and (row["last_split"] >= large or row["file_path"] in mixed)
+        ]
+        if spanning:
+            found = are_plain(_numbered_lines(spark, spanning, utf8)).filter("plain")
+            plain.update(row["file_path"] for row in found.collect())
     files = {}
     for row in rows:
+        name = row["file_path"]
         records = BY_LINE if row["one_line_records"] else BY_FILE
-        if row["file_path"] in plain:
+        if name in plain:
             records = BY_QUOTES
-        layout = Layout(row["header"] or "", row["utf8"], records)
-        files.setdefault(layout, []).append(row["file_path"])
+        line_end = None if name in mixed else "\r\n" if row["all_returns"] else "\n"
+        fields = _FIELDS
+        while fields < 4 * row["commas"] + 4:
+            fields *= 2
+        header = row["header"].removesuffix("\r")
+        layout = Layout(header, row["utf8"], records, line_end, fields)
+        files.setdefault(layout, []).append(name)
     return files
 
 
-def _split_lines(spark, path, names, latin):
-    """Decoded lines of the named files, cut at line feeds only: a quoted CR LF stays whole."""
-    lines = _lines(spark, path, names, lineSep="\n")
-    decoded = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    is_latin = F.col("file_path").isin(latin)
-    return lines.withColumn("value", F.when(is_latin, decoded).otherwise(F.col("value")))
+def _numbered_lines(spark, names, utf8):
+    lines = _lines(spark, _as_paths(names))
+    if not utf8:
+        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    return number_lines(lines)
 
 
 def read_landing_csv(
@@ -121,7 +166,9 @@ def read_landing_csv(
     order their columns differently; a column a file lacks is NULL.
 
     Files are split among tasks, but one that quotes line breaks is a single task, up to
-    large_file_bytes. Beyond that it is split as well, unless it is irregularly quoted.
+    large_file_bytes. Beyond that it is split as well, unless it is irregularly quoted. Line breaks in
+    quotes stay as they are. Blank lines are skipped; the first other line of a file is its header,
+    and a file without one has no records.
     """
     return drop_overlong(all_records(spark, path, columns, na_tokens, large_file_bytes))
 
@@ -144,45 +191,48 @@ def all_records(
         return spark.createDataFrame(
             [], T.StructType([*fields, T.StructField("overlong", T.BooleanType())])
         )
-    # The commonest layout takes the rest of the folder, so that no plan lists most of its files.
-    common = max(files, key=lambda layout: len(files[layout]))
-    others = [name for layout, names in files.items() if layout != common for name in names]
     parts = []
     for layout, names in files.items():
-        if layout.records == BY_QUOTES:
-            parsed = _join_by_quotes(spark, path, layout, names)
-        else:
-            chosen = F.col("_metadata.file_path").isin(names)
-            if layout == common:
-                chosen = ~F.col("_metadata.file_path").isin(others) if others else F.lit(True)
-            parsed = _parse_files(spark, path, layout, chosen)
-        parts.append(_shape(parsed, layout, columns, na_tokens))
+        read = _join_by_quotes if layout.records == BY_QUOTES else _parse_files
+        parts.append(_shape(read(spark, layout, _as_paths(names)), layout, columns, na_tokens))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _parse_files(spark, path, layout, chosen):
+def _parse_files(spark, layout, paths):
     fields = [T.StructField(name, T.StringType()) for name in [*layout.columns, _MALFORMED]]
-    return (
+    reader = (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", layout.records == BY_FILE)
         .option("encoding", layout.encoding)
+        .option("maxColumns", layout.fields)
         .option("columnNameOfCorruptRecord", _MALFORMED)
         # Else a narrow query parses a narrow record and sees no excess fields.
         .option("columnPruning", False)
         .option("recursiveFileLookup", True)
-        .csv(path)
-        .filter(chosen)
     )
-
-
-def _join_by_quotes(spark, path, layout, names):
-    lines = _split_lines(spark, path, names, [] if layout.utf8 else names)
-    records = assemble_records(lines).filter("record > 1 AND text <> ''")
+    if layout.records == BY_FILE and layout.line_end:
+        # Else the parser guesses, and changes line ends in quotes to the one it found.
+        reader = reader.option("lineSep", layout.line_end)
+    return reader.csv(paths)
+
+
+def _join_by_quotes(spark, layout, paths):
+    lines = _lines(spark, paths)
+    if not layout.utf8:
+        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    records = assemble_records(number_lines(lines)).filter(F.col("text").rlike(r"\S"))
+    # The header is the first record that is not blank.
+    header = records.groupBy("file_path").agg(F.min("record").alias("header"))
+    records = records.join(header, "file_path").filter("record > header")
     quoted = [name.replace("`", "``") for name in [*layout.columns, _MALFORMED]]
     schema = ", ".join(f"`{name}` string" for name in quoted)
-    options = {"escape": '"', "columnNameOfCorruptRecord": _MALFORMED}
+    options = {
+        "escape": '"',
+        "columnNameOfCorruptRecord": _MALFORMED,
+        "maxColumns": str(layout.fields),
+    }
     return records.select(F.from_csv("text", schema, options).alias("row")).select("row.*")
 
 
@@ -190,7 +240,7 @@ def _shape(parsed, layout, columns, na_tokens):
     names = layout.columns
     # Spark keeps the text of a record whose field count is off; count its separators. A scan may
     # not ask for that text alone, hence the harmless look at the first column.
-    outside_quotes = F.regexp_replace(F.col(_MALFORMED), _QUOTED_FIELD, "")
+    outside_quotes = F.regexp_replace(F.col(_MALFORMED), _WHOLE_QUOTED_FIELD, "")
     separators = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(",")))
     overlong = F.coalesce(separators, F.length(F.col(f"`{names[0]}`")) * 0, F.lit(0)) >= len(names)
     values = [
@@ -199,4 +249,5 @@ def _shape(parsed, layout, columns, na_tokens):
         else F.lit(None).cast("string").alias(name)
         for name in columns
     ]
-    return parsed.select(*values, overlong.alias("overlong"))
+    blank = F.coalesce(~F.col(_MALFORMED).rlike(r"\S"), F.lit(False))
+    return parsed.filter(~blank).select(*values, overlong.alias("overlong"))

@@ -5,22 +5,27 @@ in splits. A line begins a record when an even number of quotes comes before it
 a sum within each split and a running sum over the splits of a file tell; only the lines of
 records that do span lines are then brought together.
 
-That holds for files that quote a field whole or not at all; `are_plain` checks it.
+That holds for files that quote a field whole or not at all; `are_plain` checks it line by line,
+before any lines are brought together, so a stray quote cannot turn the rest of a file into one group.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 _PLAIN_FIELD = r'(?>"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)'
-_PLAIN_RECORD = rf"^{_PLAIN_FIELD}(?:,{_PLAIN_FIELD})*+$"
+_OPENED_FIELD = r'"[^"]*+(?:""[^"]*+)*+'
+_FIELDS = rf"(?:{_PLAIN_FIELD},)*+(?:{_PLAIN_FIELD}|{_OPENED_FIELD})"
+# What a line holds that begins a record, and one that begins inside a quoted field.
+_FROM_OUTSIDE = rf"^{_FIELDS}\r?$"
+_FROM_INSIDE = rf'^[^"]*+(?:""[^"]*+)*+(?:"(?:,{_FIELDS})?)?\r?$'
 _SPLIT = ["file_path", "block_start"]
 
 
-def assemble_records(lines):
-    """Lines (file_path, block_start, line, value) as records (file_path, record, text).
+def number_lines(lines):
+    """Lines (file_path, block_start, line, value) with the record each belongs to.
 
-    `line` orders the lines of a split. Records are numbered from 1 in each file. Splits are the
-    unit of work: no task or group holds more than one of them, or one record.
+    `line` orders the lines of a split. `record` counts from 1 in each file; `starts` tells that the
+    line begins one, and `quotes` are those in it. No task or group holds more than one split.
     """
     in_split = Window.partitionBy(*_SPLIT).orderBy("line")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
@@ -48,7 +53,11 @@ def assemble_records(lines):
 
     lines = lines.join(splits, _SPLIT).withColumn("starts", F.col("odd_before") == F.col("inside"))
     running = F.count_if("starts").over(in_split.rowsBetween(Window.unboundedPreceding, 0))
-    lines = lines.withColumn("record", F.col("records_before") + running)
+    return lines.withColumn("record", F.col("records_before") + running)
+
+
+def assemble_records(lines):
+    """Numbered lines of plainly quoted files as records (file_path, record, text)."""
     # Most records are one line and need no grouping.
     alone = F.col("starts") & (F.col("quotes") % 2 == 0)
     singles = lines.filter(alone).select("file_path", "record", F.col("value").alias("text"))
@@ -64,8 +73,9 @@ def assemble_records(lines):
     return singles.unionByName(spanning).withColumn("text", F.regexp_replace("text", "\r$", ""))
 
 
-def are_plain(records):
-    """Per file, whether every record quotes its fields whole or not at all."""
-    return records.groupBy("file_path").agg(
-        F.bool_and(F.col("text").rlike(_PLAIN_RECORD)).alias("plain")
+def are_plain(lines):
+    """Per file, whether every numbered line quotes its fields whole or not at all."""
+    fits = F.when(F.col("starts"), F.col("value").rlike(_FROM_OUTSIDE)).otherwise(
+        F.col("value").rlike(_FROM_INSIDE)
     )
+    return lines.groupBy("file_path").agg(F.bool_and(fits).alias("plain"))

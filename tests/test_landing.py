@@ -187,3 +187,60 @@ def test_irregular_quotes_are_left_to_one_task(spark, folder, small_splits):
     found = read_landing_csv(spark, folder, large_file_bytes=1).collect()
     assert len(found) == 100
     assert {(row["Book-Title"], row["Book-Author"]) for row in found} == {('5" disk', "two\nlines")}
+
+
+SPANNING = {
+    "crlf": '1,"x\r\ny",A,2002,P,s,m,l\r\n  \r\n2,"a\nb",A,2002,P,s,m,l\r\n',
+    "mixed": '1,"x\r\ny",A,2002,P,s,m,l\n2,"a\nb",A,2002,P,s,m,l\r\n3,c,A,2002,P,s,m,l\n',
+    "lf": '1,"x\ny",A,2002,P,s,m,l\n2,"a ""q"" b",A,2002,P,s,m,l\n',
+    "long": '1,"x\ny",A,2002,P,s,m,l,z\n2,b,A\n3,"c,\nd",A,2002,P,s,m,"l,l"\n',
+}
+
+
+@pytest.mark.parametrize("name", SPANNING)
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_a_file_has_the_same_rows_at_any_size(spark, land, folder, name, encoding):
+    end = "\r\n" if name == "crlf" else "\n"
+    land("a.csv", SPANNING[name].replace("A", "\xe9"), encoding, HEADER.strip() + end)
+    small = sorted(map(tuple, all_records(spark, folder).collect()), key=str)
+    split = sorted(map(tuple, all_records(spark, folder, large_file_bytes=0).collect()), key=str)
+    assert small == split and len(small) >= 2
+    if name != "lf" and name != "long":
+        assert "x\r\ny" in {row[1] for row in small}
+
+
+def test_a_stray_quote_makes_no_long_group(spark, land, folder):
+    """Lines are judged before any are joined."""
+    land("a.csv", '1,5" disk,A,2002,P,s,m,l\n' + "2,b,A,2002,P,s,m,l\n" * 500 + '3,"x\ny",A,2,P,s,m,l\n')
+    layouts = _layouts(spark, folder, 0)
+    assert [layout.records for layout in layouts] == [BY_FILE]
+    assert read_landing_csv(spark, folder, large_file_bytes=0).count() == 502
+
+
+def test_fields_beyond_stray_quotes_are_counted(spark, land, folder):
+    land("a.csv", 'x,5" disk,7" tape,y,z\n1,a,b,c\n', header="a,b,c,d\n")
+    rows = read_landing_csv(spark, folder, columns=list("abcd")).collect()
+    assert [tuple(row) for row in rows] == [("1", "a", "b", "c")]
+
+
+@pytest.mark.parametrize("text", ["", "\n", "  \n\n"])
+def test_a_file_without_a_header_has_no_rows(spark, land, folder, text):
+    land("a.csv", text, header="")
+    land("b.csv", "1,T,A,2002,P,s,m,l\n")
+    assert titles(read_landing_csv(spark, folder)) == ["T"]
+
+
+def test_blank_lines_and_repeated_names(spark, land, folder):
+    land("a.csv", "\na,b,a\n1,2,3\n   \n4,5,6\n", header="")
+    rows = read_landing_csv(spark, folder, columns=["a", "b", "a.1"], na_tokens=[]).collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", "3"), ("4", "5", "6")]
+
+
+def test_a_very_wide_line_is_skipped(spark, land, folder):
+    land("a.csv", "1,T,A,2002,P,s,m,l\n" + "," * 30_000 + "\n")
+    assert titles(read_landing_csv(spark, folder)) == ["T"]
+
+
+def test_odd_file_names(spark, land, folder):
+    land("a b[1]{x}%20.csv", "1,T,A,2002,P,s,m,l\n")
+    assert titles(read_landing_csv(spark, folder)) == ["T"]
