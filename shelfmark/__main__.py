@@ -14,6 +14,8 @@ def parse(argv):
     for layer in ("bronze", "silver", "gold"):
         parser.add_argument(f"--{layer}", default=getattr(layers, layer), metavar="URI")
     parser.add_argument("--master")
+    parser.add_argument("--input-bytes", type=int, help="size of the raw data, for the shuffles")
+    parser.add_argument("--csv-format", choices=["csv", "json", "parquet"], help="of Bronze books")
     runs = parser.add_subparsers(dest="run", required=True)
     for run in ("bronze", "all"):
         raw = runs.add_parser(run)
@@ -24,6 +26,7 @@ def parse(argv):
         raw.add_argument("--max-pages", type=int)
         raw.add_argument("--subjects", nargs="+")
         raw.add_argument("--works-per-subject", type=int)
+        raw.add_argument("--raw-partitions", type=int, help="deal few raw files out anew")
         if run == "all":
             raw.add_argument("--parallel", action="store_true")
     runs.add_parser("silver").add_argument("--sources", nargs="+", choices=SOURCES, default=SOURCES)
@@ -46,10 +49,11 @@ def main(argv=None):
 
 
 def _run(spark, args, layers):
+    size, formats = args.input_bytes, {"csv": args.csv_format}
     if args.run == "silver":
-        return run_silver(spark, layers, args.sources)
+        return run_silver(spark, layers, args.sources, input_bytes=size, formats=formats)
     if args.run == "gold":
-        return run_gold(spark, layers, args.tables)
+        return run_gold(spark, layers, args.tables, input_bytes=size)
     inputs = Inputs(
         args.pages,
         args.landing_csv,
@@ -58,10 +62,13 @@ def _run(spark, args, layers):
         args.max_pages,
         tuple(args.subjects) if args.subjects else None,
         args.works_per_subject,
+        args.raw_partitions,
     )
     if args.run == "bronze":
-        return run_bronze(spark, inputs, layers)
-    return run_all(spark, inputs, layers, parallel=args.parallel)
+        return run_bronze(spark, inputs, layers, formats=formats)
+    return run_all(
+        spark, inputs, layers, parallel=args.parallel, input_bytes=size, formats=formats
+    )
 
 
 if __name__ == "__main__":

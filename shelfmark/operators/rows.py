@@ -50,15 +50,6 @@ def dedup_latest(df, keys, latest=()):
     )
 
 
-def spread(df):
-    """Deal the rows of a small table just read out to all cores, before costly work on each.
-
-    Only where the scan has fewer tasks than the cluster has cores; a larger table stays put.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def add_lineage(df, source, extracted_at):
     """Where a raw record came from and when."""
     return df.withColumns({"source": F.lit(source), "extracted_at": extracted_at})

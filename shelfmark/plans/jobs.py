@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from ..operators.rows import add_lineage, moment
 from ..schemas import STEP_STATUS
+from ..session import sized_for
 from ..sinks.tables import RowCount, overwrite_table, write_batch
 from ..sources.landing import all_records
-from ..sources.layers import read_bronze, read_silver
+from ..sources.layers import read_batch, read_bronze, read_silver
 from ..sources.pages import WEB_SOURCE, all_cards, read_raw_pages
 from ..sources.responses import API_SOURCE, all_works, read_raw_responses
 from .gold import GOLD_JOBS
@@ -39,6 +40,7 @@ class Inputs:
     max_pages: int | None = None
     subjects: tuple[str, ...] | None = None
     works_per_subject: int | None = None
+    raw_partitions: int | None = None
 
     def sources(self):
         paths = {"web": self.pages, "csv": self.landing_csv, "api": self.responses}
@@ -74,41 +76,83 @@ class _Work:
     read: Callable[[], DataFrame]
     shape: Callable[[DataFrame], DataFrame]
     write: Callable[[DataFrame], str]
+    reread: Callable[[str], DataFrame]
+    # Parquet tells its rows without reading them. To watch them go by would keep filters from the
+    # scan.
+    by_footer: bool = False
 
 
-def run_bronze(spark, inputs, layers, batch_ts=None, raise_on_error=True):
-    """Raw data of every given source -> one Bronze batch each."""
+def run_bronze(spark, inputs, layers, batch_ts=None, raise_on_error=True, formats=None):
+    """Raw data of every given source -> one Bronze batch each.
+
+    `formats` names the file format of a source, where it is not the usual one.
+    """
     batch_ts = batch_ts or datetime.now(timezone.utc)
-    steps = [_bronze_step(spark, source, inputs, layers, batch_ts) for source in inputs.sources()]
+    steps = [
+        _bronze_step(spark, source, inputs, layers, batch_ts, (formats or {}).get(source))
+        for source in inputs.sources()
+    ]
     return _finish(spark, steps, raise_on_error)
 
 
-def run_silver(spark, layers, sources=SOURCES, batch_ts=None, raise_on_error=True, **read):
-    """All Bronze batches of each source -> its Silver table. `read` goes to read_bronze."""
-    steps = [_silver_step(spark, source, layers, batch_ts, read) for source in sources]
+def run_silver(
+    spark,
+    layers,
+    sources=SOURCES,
+    batch_ts=None,
+    raise_on_error=True,
+    input_bytes=None,
+    formats=None,
+    **read,
+):
+    """All Bronze batches of each source -> its Silver table. `read` goes to read_bronze.
+
+    `input_bytes` sizes the shuffles, `formats` names the file format of a source.
+    """
+    with sized_for(spark, "silver", input_bytes):
+        steps = [
+            _silver_step(spark, source, layers, batch_ts, {"fmt": (formats or {}).get(source), **read})
+            for source in sources
+        ]
     return _finish(spark, steps, raise_on_error)
 
 
-def run_gold(spark, layers, tables=tuple(GOLD_JOBS), raise_on_error=True):
+def run_gold(spark, layers, tables=tuple(GOLD_JOBS), raise_on_error=True, input_bytes=None):
     """Silver tables -> the named Gold tables."""
-    return _finish(spark, [_gold_step(spark, table, layers) for table in tables], raise_on_error)
+    with sized_for(spark, "gold", input_bytes):
+        steps = [_gold_step(spark, table, layers) for table in tables]
+    return _finish(spark, steps, raise_on_error)
 
 
-def run_all(spark, inputs, layers, batch_ts=None, parallel=False, raise_on_error=True):
+def run_all(
+    spark,
+    inputs,
+    layers,
+    batch_ts=None,
+    parallel=False,
+    raise_on_error=True,
+    input_bytes=None,
+    formats=None,
+):
     """Bronze then Silver for each source, then Gold.
 
+    `input_bytes`, of the raw data, sizes the shuffles of each layer. `formats` names the Bronze
+    format of a source, such as {"csv": "parquet"} for a run too large for files that one task reads.
+
     A Gold table is built when its own source succeeded. `parallel` runs the chains of the
     sources, and then the Gold tables, as concurrent jobs of the one application.
     """
     batch_ts = batch_ts or datetime.now(timezone.utc)
 
     def chain(source):
-        bronze = _bronze_step(spark, source, inputs, layers, batch_ts)
+        fmt = (formats or {}).get(source)
+        bronze = _bronze_step(spark, source, inputs, layers, batch_ts, fmt)
         if bronze.status != "OK":
             return [bronze, Step(f"silver/{source}", "SKIPPED", error="no new Bronze batch")]
-        return [bronze, _silver_step(spark, source, layers, batch_ts, {})]
+        return [bronze, _silver_step(spark, source, layers, batch_ts, {"fmt": fmt})]
 
-    chains = _each(spark, chain, inputs.sources(), parallel)
+    with sized_for(spark, "silver", input_bytes):
+        chains = _each(spark, chain, inputs.sources(), parallel)
     steps = [step for chained in chains for step in chained]
     done = {step.step for step in steps if step.status == "OK"}
 
@@ -119,18 +163,20 @@ def run_all(spark, inputs, layers, batch_ts=None, parallel=False, raise_on_error
         return _gold_step(spark, name, layers)
 
     wanted = [name for name, (source, _) in GOLD_JOBS.items() if source in inputs.sources()]
-    steps += _each(spark, table, wanted, parallel)
+    with sized_for(spark, "gold", input_bytes):
+        steps += _each(spark, table, wanted, parallel)
     return _finish(spark, steps, raise_on_error)
 
 
-def _bronze_step(spark, source, inputs, layers, batch_ts):
+def _bronze_step(spark, source, inputs, layers, batch_ts, fmt=None):
     readers = {
         "web": lambda: all_cards(
-            read_raw_pages(spark, inputs.pages, inputs.raw_format), max_pages=inputs.max_pages
+            read_raw_pages(spark, inputs.pages, inputs.raw_format, inputs.raw_partitions),
+            max_pages=inputs.max_pages,
         ),
         "csv": lambda: all_records(spark, inputs.landing_csv),
         "api": lambda: all_works(
-            read_raw_responses(spark, inputs.responses, inputs.raw_format),
+            read_raw_responses(spark, inputs.responses, inputs.raw_format, inputs.raw_partitions),
             subjects=inputs.subjects,
             limit=inputs.works_per_subject,
         ),
@@ -144,7 +190,12 @@ def _bronze_step(spark, source, inputs, layers, batch_ts):
 
     return _run(
         f"bronze/{source}",
-        _Work(readers[source], shape, lambda df: write_batch(df, layers, source, batch_ts)),
+        _Work(
+            readers[source],
+            shape,
+            lambda df: write_batch(df, layers, source, batch_ts, fmt),
+            lambda path: read_batch(spark, path, source, fmt),
+        ),
     )
 
 
@@ -155,6 +206,8 @@ def _silver_step(spark, source, layers, batch_ts, read):
             lambda: read_bronze(spark, layers, source, **read),
             lambda df: SILVER_JOBS[source](df, batch_ts),
             lambda df: overwrite_table(df, layers.silver_path(source)),
+            spark.read.parquet,
+            by_footer=read.get("fmt") == "parquet",
         ),
     )
 
@@ -167,6 +220,8 @@ def _gold_step(spark, table, layers):
             lambda: read_silver(spark, layers, source),
             job,
             lambda df: overwrite_table(df, layers.gold_path(table)),
+            spark.read.parquet,
+            by_footer=True,
         ),
     )
 
@@ -176,14 +231,16 @@ def _run(name, work):
     try:
         rows_in, rows_out = RowCount(), RowCount()
         source = work.read()
-        path = work.write(rows_out.watch(work.shape(rows_in.watch(source))))
-        counted_in, counted_out = rows_in.rows(), rows_out.rows()
+        watched = source if work.by_footer else rows_in.watch(source)
+        path = work.write(rows_out.watch(work.shape(watched)))
+        # Spark drops the observations of a plan it finds to be empty at run time.
+        counted_in = None if work.by_footer else rows_in.rows()
+        counted_out = rows_out.rows()
         return Step(
             name,
             "OK",
-            # Spark drops the observations of a plan it finds to be empty at run time.
             source.count() if counted_in is None else counted_in,
-            0 if counted_out is None else counted_out,
+            work.reread(path).count() if counted_out is None else counted_out,
             time.monotonic() - start,
             path,
         )
@@ -192,12 +249,12 @@ def _run(name, work):
 
 
 def _reason(error):
-    """The first lines of the innermost message."""
+    """The innermost message, whole."""
     cause = getattr(error, "java_exception", None)
     while cause is not None and cause.getCause() is not None:
         cause = cause.getCause()
     text = str(error) if cause is None else cause.toString()
-    return "\n".join(text.strip().splitlines()[:5]) or repr(error)
+    return text.strip() or repr(error)
 
 
 def _each(spark, job, items, parallel):

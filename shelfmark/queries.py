@@ -38,7 +38,6 @@ from .operators.rows import (
     moment,
     positive,
     require,
-    spread,
 )
 from .plans.gold import gold_by_year, gold_price_stats, gold_top_rated, gold_top_subjects
 from .plans.jobs import Inputs, run_all
@@ -47,7 +46,7 @@ from .schemas import LANDING_CSV_COLUMNS
 from .session import Layers, shared_folder
 from .sinks.tables import overwrite_table, write_batch
 from .sources.landing import read_landing_csv
-from .sources.layers import read_bronze
+from .sources.layers import read_bronze, read_silver
 from .sources.pages import WEB_SOURCE, cards_from_pages
 from .sources.responses import API_SOURCE, works_from_responses
 
@@ -366,7 +365,7 @@ _WORKS_SQL = f"""
 
 
 def documents_of(spark, folder):
-    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return table(spark, folder, "documents").select("doc_id", "text", "lang")
 
 
 def pages_of_documents(documents):
@@ -537,6 +536,59 @@ def landing_csv(spark, folder):
     return read_landing_csv(spark, path, columns=documents.columns, na_tokens=[""])
 
 
+def _csv_row(*fields):
+    """Fields as one CSV line, each quoted."""
+    quoted = [F.concat(F.lit('"'), F.replace(f, F.lit('"'), F.lit('""')), F.lit('"')) for f in fields]
+    return F.concat_ws(",", *quoted)
+
+
+@query("""
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+           replace(text, chr(10), chr(13) || chr(10)) || chr(13) || chr(10) || lang AS text
+    FROM documents
+""")
+def landing_csv_splits(spark, folder):
+    """Files read in splits, whose quoted texts hold CR LF."""
+    text = F.replace("text", F.lit("\n"), F.lit("\r\n"))
+    text = F.concat(text, F.lit("\r\n"), F.col("lang"))
+    lines = _csv_row(F.col("doc_id").cast("string"), text)
+    path = _write_lines(spark, table(spark, folder, "documents").select(lines), "doc_id,text")
+    return read_landing_csv(spark, path, ["doc_id", "text"], na_tokens=[], large_file_bytes=0)
+
+
+@query("""
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+           CASE WHEN doc_id % 7 = 1 THEN NULL WHEN doc_id % 7 = 2 THEN '5" ' || lang
+                WHEN doc_id % 7 = 3 THEN NULL ELSE lang END AS lang,
+           CASE WHEN doc_id % 7 = 1 THEN NULL ELSE source END AS source
+    FROM documents WHERE doc_id % 7 NOT IN (4, 5)
+""")
+def landing_overlong(spark, folder):
+    """Short rows, stray quotes, missing values, and rows with too many fields, which are skipped."""
+    own, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 7
+    line = (
+        F.when(kind == 1, own)
+        .when(kind == 2, F.concat_ws(",", own, F.concat(F.lit('5" '), "lang"), "source"))
+        .when(kind == 3, F.concat_ws(",", own, F.lit("NA"), "source"))
+        .when(kind == 4, F.concat_ws(",", own, F.lit('5" disk,7" tape'), "lang"))
+        .when(kind == 5, F.concat_ws(",", own, "lang", "source", F.lit('"x, y"')))
+        .otherwise(F.concat_ws(",", own, "lang", "source"))
+    )
+    path = _write_lines(spark, table(spark, folder, "documents").select(line), "doc_id,lang,source")
+    return read_landing_csv(spark, path, ["doc_id", "lang", "source"])
+
+
+def _write_lines(spark, lines, header):
+    """Text files with a header line each."""
+    path = shared_folder(spark, "lines")
+    lines = lines.toDF("value").withColumn("part", F.spark_partition_id())
+    head = lines.select("part").distinct().select(F.lit(header).alias("value"), "part")
+    both = head.withColumn("at", F.lit(0)).unionByName(lines.withColumn("at", F.lit(1)))
+    both = both.repartition("part").sortWithinPartitions("part", "at")
+    both.select("value", "part").write.partitionBy("part").text(path)
+    return path
+
+
 def _write_csv(df, path, encoding="UTF-8"):
     df.write.mode("overwrite").csv(
         path,
@@ -789,3 +841,79 @@ def medallion_status(spark, folder):
     overwrite_table(responses_of_documents(documents), inputs.responses)
     status = run_all(spark, inputs, Layers.under(root), BATCH_TS, parallel=True)
     return status.select("step", "status", "rows_in", "rows_out")
+
+
+def _run_over(spark, folder, bronze_csv_format=None):
+    """Layers that a whole run over the test tables has written."""
+    root = shared_folder(spark, "written")
+    documents, orders = documents_of(spark, folder), table(spark, folder, "orders")
+    inputs = Inputs(f"{root}/raw/pages", f"{root}/raw/csv", f"{root}/raw/responses")
+    overwrite_table(pages_of_documents(documents), inputs.pages)
+    _write_csv(book_dump(orders).drop("o_orderdate"), inputs.landing_csv)
+    overwrite_table(responses_of_documents(documents), inputs.responses)
+    run_all(spark, inputs, Layers.under(root), BATCH_TS, formats={"csv": bronze_csv_format})
+    return Layers.under(root)
+
+
+_WRITTEN_CSV_SQL = f"""
+    SELECT * FROM ({_DUMP_SQL}) WHERE year IS NOT NULL
+    QUALIFY row_number() OVER (
+        PARTITION BY isbn ORDER BY title DESC, author DESC, year DESC, publisher DESC) = 1
+"""
+
+
+@query(f"""
+    SELECT title, price_gbp, rating, availability FROM ({_SILVER_WEB_SQL})
+    ORDER BY rating DESC, price_gbp, title, availability LIMIT 20
+""")
+def written_top_rated(spark, folder):
+    """The Gold table of best books, as a run leaves it."""
+    layers = _run_over(spark, folder)
+    return spark.read.parquet(layers.gold_path("top_rated_books"))
+
+
+@query(f"""
+    SELECT year, count(*) AS nombre_livres, count(DISTINCT author) AS nombre_auteurs,
+           count(DISTINCT publisher) AS nombre_editeurs
+    FROM ({_WRITTEN_CSV_SQL}) GROUP BY year
+""")
+def written_books_by_year(spark, folder):
+    """The Gold table of years, from Parquet Bronze."""
+    layers = _run_over(spark, folder, bronze_csv_format="parquet")
+    return spark.read.parquet(layers.gold_path("books_by_year"))
+
+
+@query(f"""
+    SELECT rating, count(*) AS nombre_livres, round(min(price_gbp), 2) AS prix_min,
+           round(max(price_gbp), 2) AS prix_max,
+           round(avg(CAST(price_gbp AS DOUBLE)), 2) AS prix_moyen
+    FROM ({_SILVER_WEB_SQL}) GROUP BY rating
+""")
+def written_price_stats(spark, folder):
+    """The Gold table of prices, as a run leaves it."""
+    return spark.read.parquet(_run_over(spark, folder).gold_path("price_stats_by_rating"))
+
+
+@query(f"""
+    SELECT subject, count(*) AS nombre_livres, round(avg(edition_count), 2) AS editions_moyennes,
+           min(first_publish_year) AS plus_ancien, max(first_publish_year) AS plus_recent
+    FROM ({_SILVER_API_SQL}) GROUP BY subject
+""")
+def written_top_subjects(spark, folder):
+    """The Gold table of subjects, as a run leaves it."""
+    return spark.read.parquet(_run_over(spark, folder).gold_path("top_subjects"))
+
+
+@query(_SILVER_API_SQL)
+def written_silver_works(spark, folder):
+    """The Silver table of works, authors included, as a run leaves it."""
+    return _stamped(read_silver(spark, _run_over(spark, folder), "api"))
+
+
+@query("""
+    SELECT p_partkey, p_name, p_size FROM part ORDER BY p_size DESC, p_partkey LIMIT 1
+""")
+def first_part(spark, folder):
+    """The first row of an order."""
+    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
+    return top_k(part, [F.col("p_size").desc(), F.col("p_partkey").asc()], 1)

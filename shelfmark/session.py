@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -19,7 +20,13 @@ _BASE_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
-_SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+# A reducer of this size sorts with spill; more reducers than the cap would cost more in map output
+# indexes than they save.
+_SHUFFLE_TARGET_BYTES = 1 << 30
+_MOST_PARTITIONS = 50_000
+# Share of the input that the steps of a layer shuffle: rows to be deduplicated move whole, the sums
+# of a Gold table are partial, and extraction moves nothing.
+MOVED_SHARE = {"bronze": 0.0, "silver": 1.0, "gold": 0.01}
 
 
 @dataclass(frozen=True)
@@ -90,13 +97,10 @@ class SessionSpec:
     master: str | None = None
     jars: tuple[str, ...] = ()
     store: ObjectStore | None = None
-    input_bytes: int | None = None
     extra: dict = field(default_factory=dict)
 
     def conf(self):
         conf = dict(_BASE_CONF)
-        if self.input_bytes is not None:
-            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions(self.input_bytes))
         if self.jars:
             conf["spark.jars"] = ",".join(self.jars)
         if self.store is not None:
@@ -105,9 +109,24 @@ class SessionSpec:
         return conf
 
 
-def shuffle_partitions(input_bytes, floor=200):
-    """Shuffle partitions that keep each one near 128 MB when the whole input moves."""
-    return max(floor, -(-input_bytes // _SHUFFLE_TARGET_BYTES))
+def shuffle_partitions(moved_bytes, floor=200, cap=_MOST_PARTITIONS):
+    """Shuffle partitions for so many shuffled bytes; adaptive execution merges small ones."""
+    return min(cap, max(floor, -(-int(moved_bytes) // _SHUFFLE_TARGET_BYTES)))
+
+
+@contextmanager
+def sized_for(spark, layer, input_bytes):
+    """The shuffle partitions of a layer's steps while it runs; as before if the size is unknown."""
+    if input_bytes is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(shuffle_partitions(input_bytes * MOVED_SHARE[layer])))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def build_session(spec=SessionSpec()):

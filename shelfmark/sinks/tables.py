@@ -62,7 +62,7 @@ class RowCount:
     def rows(self):
         """The count, or None where Spark found the plan empty and dropped the observation.
 
-        Call after the action, else this waits for it.
+        Call after an action that succeeded: then nothing else can be missing.
         """
         try:
             return self._seen.get.get("rows")

@@ -23,6 +23,13 @@ def read_bronze(spark, layers, source, fmt=None, multi_line=False, file_column=N
     return df
 
 
+def read_batch(spark, path, source, fmt=None):
+    """One batch, as it was written."""
+    fmt = fmt or batch_format(source)
+    options = _read_options(fmt, False)
+    return spark.read.schema(BRONZE[source]).options(**options).format(fmt).load(path)
+
+
 def read_silver(spark, layers, source):
     return spark.read.schema(SILVER[source]).parquet(layers.silver_path(source))
 

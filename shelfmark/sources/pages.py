@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.columns import clean_price, rating_from_word, strip_ws, token
-from ..operators.rows import spread
 from ..schemas import RAW_PAGES
 
 # Fixed value: the `source` of these records.
@@ -13,9 +12,14 @@ WEB_SOURCE = "books.toscrape.com"
 _PAGE_NUMBER = r"page-([0-9]+)\.html"
 
 
-def read_raw_pages(spark, path, fmt="parquet"):
-    """Fetched pages: (url, html), Parquet or JSON Lines."""
-    return spread(spark.read.schema(RAW_PAGES).format(fmt).load(path))
+def read_raw_pages(spark, path, fmt="parquet", partitions=None):
+    """Fetched pages: (url, html), Parquet or JSON Lines.
+
+    `partitions` deals the raw rows out anew, a shuffle that helps only where the files hold fewer
+    splits than the cluster has cores. Without it they stay where they are read.
+    """
+    raw = spark.read.schema(RAW_PAGES).format(fmt).load(path)
+    return raw.repartition(partitions) if partitions else raw
 
 
 def page_range(pages, max_pages, url="url"):

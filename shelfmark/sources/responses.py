@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..functions.fields import field, has_field
-from ..operators.rows import spread
 from ..schemas import RAW_RESPONSES
 
 # Fixed value: the `source` of these records.
@@ -12,9 +11,14 @@ API_SOURCE = "openlibrary_api"
 _BODY = "struct<works: array<variant>>"
 
 
-def read_raw_responses(spark, path, fmt="parquet"):
-    """Fetched responses: (subject, body), Parquet or JSON Lines."""
-    return spread(spark.read.schema(RAW_RESPONSES).format(fmt).load(path))
+def read_raw_responses(spark, path, fmt="parquet", partitions=None):
+    """Fetched responses: (subject, body), Parquet or JSON Lines.
+
+    `partitions` deals the raw rows out anew, a shuffle that helps only where the files hold fewer
+    splits than the cluster has cores. Without it they stay where they are read.
+    """
+    raw = spark.read.schema(RAW_RESPONSES).format(fmt).load(path)
+    return raw.repartition(partitions) if partitions else raw
 
 
 def all_works(responses, subject="subject", body="body", subjects=None, limit=None):

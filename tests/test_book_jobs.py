@@ -1,6 +1,9 @@
+import contextlib
 import glob
+import io
 import json
 import os
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -17,7 +20,15 @@ from shelfmark.plans.gold import (
 )
 from shelfmark.plans.jobs import Inputs, StepsFailed, run_all, run_bronze, run_gold, run_silver
 from shelfmark.plans.silver import silver_api, silver_csv, silver_web
-from shelfmark.session import Layers, ObjectStore, SessionSpec, shared_folder, shuffle_partitions
+from shelfmark.plans import jobs
+from shelfmark.session import (
+    Layers,
+    ObjectStore,
+    SessionSpec,
+    shared_folder,
+    shuffle_partitions,
+    sized_for,
+)
 from shelfmark.sinks.tables import RowCount, overwrite_table, write_batch
 from shelfmark.sources.layers import read_bronze, read_silver
 
@@ -405,7 +416,39 @@ def test_object_store_settings():
 
 def test_shuffles_grow_with_the_input():
     assert shuffle_partitions(0) == 200
-    assert SessionSpec(input_bytes=10**14).conf()["spark.sql.shuffle.partitions"] == "745059"
+    assert [shuffle_partitions(n) for n in (10**12, 10**13, 10**14)] == [932, 9314, 50_000]
+
+
+def test_each_layer_has_its_own_shuffles(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with sized_for(spark, "silver", 10**13):
+        assert spark.conf.get(key) == "9314"
+    with sized_for(spark, "gold", 10**13):
+        assert spark.conf.get(key) == "200"
+    with sized_for(spark, "gold", None):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
+
+
+def test_filters_of_the_steps_reach_the_scan(spark, folder, inputs, monkeypatch):
+    plans = {}
+
+    def keep(df, path):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.explain("formatted")
+        plans[os.path.basename(path)] = text.getvalue()
+        return overwrite_table(df, path)
+
+    monkeypatch.setattr(jobs, "overwrite_table", keep)
+    layers = Layers.under(folder)
+    found = statuses(run_all(spark, inputs, layers, DAY1, formats={"csv": "parquet", "web": "parquet"}))
+    assert found["silver/csv"] == ("OK", 1, 1) and found["gold/top_rated_books"] == ("OK", 2, 2)
+    pushed = {name: re.search(r"PushedFilters: \[(.*)\]", plan)[1] for name, plan in plans.items() if "PushedFilters" in plan}
+    assert "IsNotNull(ISBN)" in pushed["csv"]
+    assert "GreaterThan(price_gbp,0.0)" in pushed["web"]
+    assert "IsNotNull(year)" in pushed["books_by_year"]
 
 
 class Session:
