@@ -15,6 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +26,7 @@ from .scratch import stored
 BANDS = 32
 ROWS = 4  # coordinates of a band
 _COORDINATES = BANDS * ROWS
-# Bytes of two sketches that agree, at least, for sets that reach the threshold: the expected share
-# less six standard deviations. It only spares the exact comparison in the last step.
-_DEVIATIONS = 6
+_BLOCK = 32  # members of a group that are compared with as many others at once
 _SLICE_CHARS = 500_000
 
 _RANDOM = np.random.default_rng(20240229)
@@ -110,28 +109,23 @@ def band_keys(sketch):
 
 
 def _sketch_udf(size):
-    kind = "struct<digest: binary, n_shingles: bigint, bands: array<bigint>, sketch: binary>"
+    kind = "struct<digest: binary, n_shingles: bigint, bands: array<bigint>>"
 
     @F.arrow_udf(kind)
     def sketched(texts: pa.Array) -> pa.Array:
-        digests, counts, bands, sketches = [], [], [], []
+        digests, counts, bands = [], [], []
         for run in slices(texts, _SLICE_CHARS):
             words = [normal_words(text) for text in run]
             digests.extend(map(digest, words))
             for own in shingle_hashes(words, size):
                 counts.append(len(own))
-                sketch = fast_sketch(own) if len(own) else None
-                bands.append([] if sketch is None else band_keys(sketch))
-                sketches.append(
-                    b"" if sketch is None else (sketch & np.uint64(255)).astype(np.uint8).tobytes()
-                )
+                bands.append(band_keys(fast_sketch(own)) if len(own) else [])
         arrays = [
             pa.array(digests, pa.binary()),
             pa.array(counts, pa.int64()),
             pa.array(bands, pa.list_(pa.int64())),
-            pa.array(sketches, pa.binary()),
         ]
-        return pa.StructArray.from_arrays(arrays, ["digest", "n_shingles", "bands", "sketch"])
+        return pa.StructArray.from_arrays(arrays, ["digest", "n_shingles", "bands"])
 
     return sketched
 
@@ -142,6 +136,11 @@ def _digest_udf(texts: pa.Array) -> pa.Array:
     return pa.array([digest(normal_words(text)) for run in runs for text in run], pa.binary())
 
 
+def _shingles(text, size):
+    words = normal_words(text)
+    return set(zip(*[words[k:] for k in range(min(size, len(words)))], strict=False))
+
+
 def _similar_udf(size, percent):
     @F.arrow_udf("boolean")
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -151,9 +150,7 @@ def _similar_udf(size, percent):
             if text not in recent:
                 if len(recent) > 8:
                     recent.clear()
-                words = normal_words(text)
-                shifted = [words[k:] for k in range(min(size, len(words)))]
-                recent[text] = set(zip(*shifted, strict=False))
+                recent[text] = _shingles(text, size)
             return recent[text]
 
         out = []
@@ -174,21 +171,90 @@ def _links(pairs, texts, size, percent):
     return stored(full.filter(alike).select("node", "other"), "near-links")
 
 
-def _likely(pairs, classes, percent):
-    """Of `pairs` those whose sketches agree often enough to be worth the exact comparison."""
-    share = percent / 100
-    least = _COORDINATES * share - _DEVIATIONS * (_COORDINATES * share * (1 - share)) ** 0.5
+def _differences(pairs, texts, size):
+    """`pairs` (node, hub, ...) with the size of the node's set and its difference from the hub's."""
 
-    @F.arrow_udf("boolean")
-    def near(left: pa.Array, right: pa.Array) -> pa.Array:
-        a = np.frombuffer(b"".join(left.to_pylist()), np.uint8).reshape(-1, _COORDINATES)
-        b = np.frombuffer(b"".join(right.to_pylist()), np.uint8).reshape(-1, _COORDINATES)
-        return pa.array((a == b).sum(1) >= least, pa.bool_())
+    @F.arrow_udf("struct<size: bigint, diff: array<bigint>>")
+    def compared(texts: pa.Array, hubs: pa.Array) -> pa.Array:
+        sizes, diffs, recent = [], [], {}
+        for text, hub in zip(texts, hubs, strict=True):
+            hub = hub.as_py()
+            if hub not in recent:
+                recent = {hub: _shingles(hub, size)}
+            own = _shingles(text.as_py(), size)
+            sizes.append(len(own))
+            hashes = (xxhash.xxh3_64_intdigest(b" ".join(s)) - (1 << 63) for s in own ^ recent[hub])
+            diffs.append(sorted(hashes))
+        arrays = [pa.array(sizes, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(arrays, ["size", "diff"])
+
+    hub = texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
+    full = pairs.join(texts, "node").join(hub, "hub")
+    full = full.withColumn("d", compared(F.col("text"), F.col("hub_text")))
+    return full.select("hub", "node", "root", "d.size", "d.diff")
+
+
+def _linked_udf(percent):
+    """Links between the members of two blocks, of different components, by their differences.
+
+    Two sets differ in what one of their differences from the same hub has and the other has not;
+    with the sizes that gives their intersection exactly.
+    """
 
-    own = classes.select("node", "sketch")
-    other = own.select(F.col("node").alias("other"), F.col("sketch").alias("other_sketch"))
-    full = pairs.join(own, "node").join(other, "other")
-    return full.filter(near(F.col("sketch"), F.col("other_sketch"))).select("node", "other")
+    @F.arrow_udf("array<struct<node: bigint, other: bigint>>")
+    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
+        out = []
+        for a, b in zip(left, right, strict=True):
+            a, b = a.as_py(), b.as_py()
+            node, root, n = (np.array([x[name] for x in b]) for name in ("node", "root", "size"))
+            counts = np.array([len(x["diff"]) for x in b])
+            owner = np.repeat(np.arange(len(b)), counts)
+            diffs = np.array([d for x in b for d in x["diff"]], np.int64)
+            found = []
+            for x in a:
+                held = np.isin(diffs, np.array(x["diff"], np.int64))
+                shared = np.bincount(owner[held], minlength=len(b))
+                apart = len(x["diff"]) + counts - 2 * shared
+                both, either = (x["size"] + n - apart) // 2, (x["size"] + n + apart) // 2
+                near = (both > 0) & (100 * both >= percent * either) & (root != x["root"])
+                found += [{"node": x["node"], "other": k} for k in node[near].tolist()]
+            out.append(found)
+        kind = pa.list_(pa.struct([("node", pa.int64()), ("other", pa.int64())]))
+        return pa.array(out, kind)
+
+    return linked
+
+
+def _last_links(still, degrees, texts, size, percent):
+    """Links that are left in open buckets: of members outside of the largest component with all.
+
+    Members meet by their bucket's best linked member, the hub, and in blocks: one row holds the
+    differences of some dozens of members on either side, and only links leave it.
+    """
+    best = still.join(degrees, "node", "left").groupBy("key")
+    best = best.agg(F.max(F.struct(F.coalesce("degree", F.lit(0)), "node"))["node"].alias("hub"))
+    members = still.join(best, "key").select("hub", "node", "root").distinct()
+    members = stored(_differences(members, texts, size), "near-differences")
+    shares = members.groupBy("hub", "root").agg(F.count("*").alias("n"))
+    groups = shares.groupBy("hub").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("top")
+    )
+    groups = groups.select(
+        "hub", F.col("top.root").alias("largest"), "all", (F.col("all") - F.col("top.n")).alias("few")
+    )
+    members = members.join(groups, "hub")
+
+    def blocks(rows, count, name):
+        block = F.pmod(F.xxhash64("node"), F.ceil(F.col(count) / _BLOCK))
+        rows = rows.withColumn("block", block).groupBy("hub", "block")
+        return rows.agg(F.collect_list(F.struct("node", "root", "size", "diff")).alias(name))
+
+    left = blocks(members, "all", "left").drop("block")
+    right = blocks(members.filter("root <> largest"), "few", "right").drop("block")
+    links = left.join(right, "hub").select(
+        F.explode(_linked_udf(percent)(F.col("left"), F.col("right"))).alias("link")
+    )
+    return stored(links.select("link.*"), "near-links")
 
 
 def _open(buckets, roots):
@@ -217,7 +283,6 @@ def _classes(docs, id, text, size):
             F.min("id").alias("id"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"),
-            F.first("sketch").alias("sketch"),
         )
     )
     return stored(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
@@ -264,17 +329,9 @@ def _roots(docs, text, classes, size, percent):
     pairs = stored(pairs.join(tried, ["node", "other"], "left_anti"), "near-pairs")
     links = links.unionByName(_links(pairs, texts, size, percent))
     roots = components(links)
-    tried = tried.unionByName(pairs)
 
     still = stored(_open(buckets, roots).select("key", "node", "root"), "near-open")
-    shares = still.groupBy("key", "root").agg(F.count("*").alias("n"))
-    largest = shares.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
-    few = still.join(largest, "key").filter("root <> largest")
-    few = few.select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    pairs = _ordered(still.join(few, "key").filter("root <> other_root").select("node", "other"))
-    pairs = pairs.join(tried, ["node", "other"], "left_anti")
-    pairs = stored(_likely(pairs, classes, percent), "near-pairs")
-    return components(links.unionByName(_links(pairs, texts, size, percent)))
+    return components(links.unionByName(_last_links(still, degrees, texts, size, percent)))
 
 
 def near_duplicates(docs, id="doc_id", text="text", size=4, percent=80):
