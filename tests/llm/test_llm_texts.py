@@ -5,12 +5,14 @@ import re
 import numpy as np
 import pytest
 from brute import groups, is_good, items_in
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfmark.llm import secrets, toxicity
 from shelfmark.llm.html_text import blocks, extract_text, main_text, style_tree
 from shelfmark.llm.queries import QUERIES
 from shelfmark.llm.quality import STOP_WORDS
+from shelfmark.llm.scratch import stored
 
 DATA = "/root/testdata/sf0.001"
 PLANTED = re.compile(r'token = "([0-9a-f]{40})"|\b(AKIA[A-Z0-9]{16})|password=([0-9a-f]{18})')
@@ -26,9 +28,10 @@ def test_forest_on_unseen_findings(spark, forest):
     fresh = secrets.example_findings(spark, 12_000).exceptAll(seen)
     own = secrets.features(fresh["value"], fresh["before"], fresh["after"])
     names = fresh.select("label", *[f.cast("double").alias(n) for n, f in own.items()])
-    right = names.selectExpr("label", "struct(*) AS own")
-    right = right.filter((forest(right["own"]) >= 0.5).cast("int") == right["label"])
-    assert right.count() >= 0.98 * fresh.count() > 0
+    names = stored(names.selectExpr("label", "array(struct(*)) AS own"), "findings")
+    scores = names.select("label", F.transform("own", forest)[0].alias("score")).collect()
+    assert len(scores) > 1000
+    assert sum((r.score >= 0.5) == (r.label == 1) for r in scores) >= 0.98 * len(scores)
 
 
 def test_secrets_of_small_texts(spark, forest):
