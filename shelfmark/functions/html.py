@@ -1,8 +1,9 @@
 """Elements, texts and attributes of HTML held in a string column.
 
-Regular expressions, not a parser: an element ends at the first closing tag of its name, so
-elements of one name nested in each other are cut short, and one that is never closed is not
-found. Attribute values may be double-quoted, single-quoted or bare.
+Regular expressions, not a parser: an element ends at its closing tag, at the next opening tag that
+is wanted as well, or at the end of the HTML, so one that is never closed is found. Elements of its
+name but not of its class may be nested in it, one deep. Attribute values may be double-quoted,
+single-quoted or bare.
 """
 
 import re
@@ -85,7 +86,11 @@ def _open(tag, css_class):
 
 
 def _element(tag, css_class):
-    return rf"{_open(tag, css_class)}({_until_closed(tag)})</(?i:{tag})\s*>"
+    wanted = _open(tag, css_class)
+    same = rf"(?i:{tag}){_NAME_END}"
+    within = rf"<(?!{wanted[1:]}){same}{_REST_OF_TAG}[^<]*+(?:<(?!/?{same})[^<]*+)*+</(?i:{tag})\s*>"
+    content = rf"[^<]*+(?:(?:{within}|<(?!/{same}|{wanted[1:]}))[^<]*+)*+"
+    return rf"{wanted}({content})(?:</(?i:{tag})\s*>|(?=<)|\z)"
 
 
 def _unescape_udf():

@@ -368,18 +368,32 @@ def documents_of(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "text", "lang")
 
 
-def pages_of_documents(documents):
-    """A catalogue page per document, with a product card per line."""
+def pages_of_documents(documents, card=None):
+    """A catalogue page per document, with a product card per line; page numbers repeat."""
+    number = (F.col("doc_id") % 20).cast("string")
     return documents.select(
-        F.concat(F.lit("http://shop.example.com/page-1.html?id="), "doc_id").alias("url"),
+        F.concat(
+            F.lit("http://shop.example.com/page-"), number, F.lit(".html?id="), "doc_id"
+        ).alias("url"),
         F.concat(
             F.lit("<html><body><!-- <article class='product_pod'> --><ol>"),
-            F.array_join(F.transform(F.split("text", "\n"), _card_html), "\n"),
+            F.array_join(F.transform(F.split("text", "\n"), card or _card_html), "\n"),
             F.lit("</ol></body></html>"),
         ).alias("html"),
     )
 
 
+def _broken_card(line):
+    """A card with a paragraph or itself left open, or with an article within."""
+    whole, kind = _card_html(line), F.length(line) % 4
+    return (
+        F.when(kind == 1, F.replace(whole, F.lit("\n</p></article>"), F.lit("</article>")))
+        .when(kind == 2, F.replace(whole, F.lit("</article>"), F.lit("")))
+        .when(kind == 3, F.replace(whole, F.lit("<h3>"), F.lit("<article><p>new</p></article><h3>")))
+        .otherwise(whole)
+    )
+
+
 def _card_html(line):
     size = F.length(line)
     title = line
@@ -424,6 +438,20 @@ def product_cards(spark, folder):
     return cards_from_pages(pages_of_documents(documents_of(spark, folder)))
 
 
+@query(f"SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL})")
+def broken_cards(spark, folder):
+    """Cards whose tags are left open or nested."""
+    return cards_from_pages(pages_of_documents(documents_of(spark, folder), _broken_card))
+
+
+@query(f"""
+    SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL}) WHERE doc_id % 20 <= 10
+""")
+def product_cards_capped(spark, folder):
+    """The feature that takes pages up to a number."""
+    return cards_from_pages(pages_of_documents(documents_of(spark, folder)), max_pages=10)
+
+
 @query(f"""
     SELECT title, array_to_string(authors, '|') AS authors, first_publish_year, subject,
            edition_count, key

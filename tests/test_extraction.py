@@ -75,6 +75,18 @@ def test_markup_variants(spark):
     assert [row[0] for row in read(found)] == ["bare", "quoted", 'say "hi" > all']
 
 
+def test_elements_left_open_or_nested(spark):
+    body = (
+        card("no end of paragraph").replace("\n  </p></div></article>", "\n  </div></article>")
+        + card("no end").replace("</article>", "")
+        + card("within").replace("<h3>", "<article class='note'><p>new</p></article><h3>")
+        + card("last").replace("</article>", "")
+    )
+    found = cards_from_pages(pages(spark, body)).select("title", "price_gbp", "availability")
+    titles = ["last", "no end", "no end of paragraph", "within"]
+    assert read(found) == [(title, 51.77, "In stock") for title in titles]
+
+
 def test_only_the_first_heading_names_the_book(spark):
     body = card().replace("<h3>", "<h3>no link here</h3><h3>")
     assert all_cards(pages(spark, body)).select("valid").collect()[0][0] is False
