@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from .vocabulary import NEVER, read_model, shared_vocabulary
 
 _SHORT = 48
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 200_000
 _CACHED_LENGTH = 64
-_SLICE_CHARS = 2_000_000
+_SLICE_CHARS = 500_000
 
 
 def greedy(vocabulary, word):
@@ -176,18 +176,21 @@ def _encode_udf(model, summary):
     @F.arrow_udf(f"struct<{kind.replace(' ', ': ').replace(',:', ',')}>")
     def encoded(texts: pa.Array) -> pa.Array:
         encoder = _encoder(model)
-        counts, ids_sha, text_sha, lists = [], [], [], []
+        counts, ids_sha, text_sha, raws = [], [], [], []
         for run in slices(texts):
             for raw in encoder.encode(run):
-                ids = np.frombuffer(raw, "<u4")
                 if not summary:
-                    lists.append(ids.astype(np.int32))
+                    raws.append(raw)
                     continue
+                ids = np.frombuffer(raw, "<u4")
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(raw).hexdigest())
                 text_sha.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
         if not summary:
-            return pa.StructArray.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["ids"])
+            ends = np.cumsum([0, *(len(raw) // 4 for raw in raws)], dtype=np.int32)
+            values = np.frombuffer(b"".join(raws), "<i4")
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+            return pa.StructArray.from_arrays([lists], ["ids"])
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
             ["n_tokens", "ids_sha256", "decoded_sha256"],
