@@ -122,20 +122,24 @@ def assign_shards(docs, keys, limit, text="text", size=None):
         F.col("bytes").alias("_total"),
         F.col("rows").alias("_rows"),
     )
-    rows = rows.join(found, ["_key", "_row"])
-    return _deal_copies(rows, limit).drop("_key", "_row", "_total", "_rows")
+    return _deal_copies(rows, found, limit).drop("_key", "_row", "_total", "_rows")
 
 
-def _deal_copies(rows, limit):
+def _deal_copies(rows, found, limit):
     """Split shards that hold copies of one row and are too large.
 
     A copy's number counts first the copies in earlier scan partitions, then those before it in its
-    own; so no group is larger than a scan partition.
+    own; so no group is larger than a scan partition. The copies are stored with the number of their
+    partition, since it is read twice and would not come out the same if it were computed twice.
     """
     many = (F.col("_total") > limit) & (F.col("_rows") > 1)
     single = (F.col("_total") > limit) & (F.col("_rows") == 1)
-    rest = rows.filter(~many).withColumn("oversized", single)
-    copies = rows.filter(many).withColumn("_at", F.spark_partition_id())
+    rest = rows.join(found.filter(~many), ["_key", "_row"]).withColumn("oversized", single)
+    found = stored(found.filter(many), "shards")
+    if found.isEmpty():
+        return rest
+    copies = rows.withColumn("_at", F.spark_partition_id()).join(found, ["_key", "_row"])
+    copies = stored(copies, "shards")
     before = Window.partitionBy("_row").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     counts = copies.groupBy("_row", "_at").agg(F.count("*").alias("_n"))
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")

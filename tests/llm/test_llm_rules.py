@@ -113,3 +113,30 @@ def test_shards_of_the_query_and_of_nothing(spark, folder):
     assert assign_shards(docs.limit(0), ["doc_id"], 10).count() == 0
     write_shards(docs, f"{folder}/shards", ["doc_id"], 10_000)
     assert spark.read.parquet(f"{folder}/shards").count() == docs.count()
+
+
+def test_copies_are_kept_by_shuffle_joins_of_other_partitions(spark, folder):
+    held = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in held}
+    wide = spark.range(60, numPartitions=4).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(1, 30), k -> sha2(concat(id, '-', k), 256)), '') AS text"
+    )
+    wide.crossJoin(spark.range(100)).select("doc_id", "text").repartition(6).write.parquet(f"{folder}/in")
+    docs = spark.read.parquet(f"{folder}/in")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        out = assign_shards(docs, ["doc_id"], 20_000).toPandas()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert len(out) == 6000 and set(out.groupby("doc_id").size()) == {100}
+    assert out.groupby("shard")["bytes"].sum().max() <= 20_000
+    assert not out["oversized"].any()
