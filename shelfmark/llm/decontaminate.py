@@ -1,7 +1,7 @@
 """Benchmark passages in documents, by SimHash over windows as long as the items.
 
-Windows are taken where a document shares a shingle with the benchmark; any other window has nothing
-in common with an item. A window and an item whose fingerprints differ in at most `radius` bits agree
+Every window is taken that has as many of the benchmark's shingles as the similarity asks for; any
+other window is less like each item. A window and an item whose fingerprints differ in at most `radius` bits agree
 in one of `radius + 1` blocks, so that an equi-join on blocks finds all of them. Candidates are
 verified by the exact similarity of their shingles, weighted by how often each occurs.
 
@@ -98,13 +98,41 @@ def _counted(shingles):
     ).otherwise(bound(F.sort_array(shingles), numbered))
 
 
+def _starts(percent):
+    """Starts of the windows of `length` words that can hold an item, from the places of `hits`.
+
+    `both` common shingles reach `percent` of the union of `a` and `b` from
+    both = percent * (a + b) / (100 + percent) on, and a window has no more in common with an item
+    than it has hits. A window with k hits begins at the first of them or before, and ends with the
+    last of them or after.
+    """
+    reach = F.col("length") - F.col("size")
+    last = F.greatest(F.lit(0), F.col("n") - F.col("length"))
+    a = F.least(F.col("n"), F.col("length")) - F.col("size") + 1
+    least = F.ceil(F.lit(percent) * (a + F.col("shingles")) / F.lit(100 + percent) - 1e-9).cast("int")
+    least = F.greatest(F.lit(1), least)
+
+    def of(bounds):
+        def around(i):
+            low = F.greatest(F.lit(0), F.col("hits")[i + bounds["least"] - 1] - bounds["reach"])
+            high = F.least(F.col("hits")[i], bounds["last"])
+            return F.when(low <= high, F.sequence(low, high)).otherwise(none)
+
+        firsts = F.sequence(F.lit(0), F.size("hits") - bounds["least"])
+        every = F.array_distinct(F.flatten(F.transform(firsts, around)))
+        return F.when(F.size("hits") >= bounds["least"], every).otherwise(none)
+
+    none = F.array().cast("array<int>")
+    return bound(F.struct(least.alias("least"), reach.alias("reach"), last.alias("last")), of)
+
+
 def find_items(
     docs, items, text="text", item="item_id", item_text="text", size=5, percent=80, radius=RADIUS
 ):
     """(`text_key`, `item_id`) of the texts of `docs` that hold an item, each pair once.
 
-    `text_key` is the SHA-256 of the text. A window of an item's length holds the item if their
-    shingles of `size` words reach `percent` of their union, both counted with multiplicity. An item
+    `text_key` is the SHA-256 of the text. A window of an item's length, at any place, holds the item
+    if their shingles of `size` words reach `percent` of their union, both counted with multiplicity. An item
     of fewer words is one shingle. Words are runs of letters and digits in any case. Items with a
     null id or without words, and null or empty texts, take part in nothing. Copies of a text are
     searched each, but lead to one pair.
@@ -129,7 +157,7 @@ def find_items(
     )
     sizes = [row[0] for row in items.select("size").distinct().collect()]  # `size` values at most
     places = items.select(
-        "length", F.posexplode("item_shingles").alias("offset", "shingle")
+        "length", F.size("item_shingles").alias("shingles"), "size", F.explode("item_shingles").alias("shingle")
     ).distinct()
 
     own = docs.select(_key(text).alias("text_key"), _words(text).alias("words"))
@@ -141,12 +169,18 @@ def find_items(
         .select("text_key", "n", "run.at", "run.shingle")
         .join(places, "shingle")
     )
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("n") - F.col("length")))
-    windows = hits.select("text_key", "length", start.alias("start")).distinct()
-    windows = windows.groupBy("text_key").agg(F.collect_set(F.struct("length", "start")).alias("at"))
+    hits = hits.groupBy("text_key", "n", "length", "shingles", "size").agg(
+        F.sort_array(F.collect_set("at")).alias("hits")
+    )
+    windows = hits.withColumn("starts", _starts(percent)).filter(F.size("starts") > 0)
+    windows = windows.groupBy("text_key").agg(F.collect_set(F.struct("length", "starts")).alias("at"))
     windows = own.join(windows, "text_key").dropDuplicates(["text_key"])
-    windows = windows.select("text_key", "words", F.explode("at").alias("at")).select(
-        "text_key", "at.length", F.slice("words", F.col("at.start") + 1, F.col("at.length")).alias("window")
+    windows = windows.select("text_key", "words", F.explode("at").alias("at"))
+    windows = windows.select(
+        "text_key", "words", F.col("at.length").alias("length"), F.explode("at.starts").alias("start")
+    )
+    windows = windows.select(
+        "text_key", "length", F.slice("words", F.col("start") + 1, F.col("length")).alias("window")
     )
     windows = stored(
         windows.withColumn("window_key", F.sha2(F.concat_ws(" ", "window"), 256)), "bench-windows"

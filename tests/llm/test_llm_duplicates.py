@@ -121,3 +121,18 @@ def test_decontamination_query_equals_trying_every_place(spark):
     got = {r.doc_id: r.item_ids for r in QUERIES["op9_decontamination"](spark, DATA).collect()}
     assert got == {r.doc_id: items_in(r.text, items) for r in docs}
     assert any(got.values())
+
+
+def test_passages_in_another_order(spark):
+    item = [f"w{k}" for k in range(50)]
+    filler = [f"f{k}" for k in range(70)]
+    cuts = [item[k:] + item[:k] for k in (25, 10, 40)] + [item[34:] + item[17:34] + item[:17]]
+    texts = [" ".join(filler + cut + filler) for cut in cuts]
+    texts += [" ".join(cut) for cut in cuts] + [" ".join(filler[:9] + cut[:-3]) for cut in cuts]
+    texts += [" ".join(item[:46]), " ".join(cuts[0][2:]), " ".join([*item[:25], "x", *item[25:]] * 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(1, " ".join(item)), (2, " ".join(item[:30])), (3, " ".join(item[20:] + item[:20]))]
+    got = mark(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    for row in got:
+        assert row.item_ids == items_in(row.text, items), row.text
+    assert 1 in got[0].item_ids
