@@ -19,7 +19,6 @@ from .url_rules import split_url
 
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5  # pages of a host that must share a path before it is judged
-LEAST_SHARE = 0.02  # and their share of the host's pages, which bounds the paths of a host
 CONTENT_WEIGHT = 0.9
 
 _TOKEN = re.compile(
@@ -222,9 +221,22 @@ def style_tree(pages, url="url", page="html"):
     where c pages share a content. Both are 1 for a single page. All are partial sums and joins of
     counts; a host with very many pages is never one group.
     """
-    host, _ = split_url(F.col(url))
-    nodes = pages.select(host.alias("host"), F.explode(_nodes(F.col(page))).alias("n"))
-    nodes = stored(nodes.select("host", "n.*"), "style-nodes")
+    return _tree(_nodes_of_pages(pages, url, page))
+
+
+def _page_key(url, page):
+    """Host and digest of a page. Pages of a host that share a digest may share their low paths."""
+    return split_url(F.col(url))[0], F.xxhash64(F.col(page))
+
+
+def _nodes_of_pages(pages, url, page):
+    host, digest = _page_key(url, page)
+    nodes = pages.select(host.alias("host"), digest.alias("digest"), _nodes(F.col(page)).alias("nodes"))
+    return stored(nodes, "style-nodes")
+
+
+def _tree(nodes):
+    nodes = nodes.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
     layouts = nodes.groupBy("host", "node", "layout").agg(F.count("*").alias("n"))
     log = F.sum(F.col("n") * F.log("n"))
     shape = layouts.groupBy("host", "node").agg(F.sum("n").alias("pages"), log.alias("logs"))
@@ -269,16 +281,19 @@ def extract_text(pages, url="url", page="html"):
     name. Character references are decoded, white space in a block becomes one space, and blocks are
     joined by one space. Every row is kept, equal ones too; columns with the two names are replaced.
     """
-    tree = style_tree(pages, url, page)
-    sizes = pages.select(split_url(F.col(url))[0].alias("host")).groupBy("host").agg(F.count("*").alias("all"))
-    low = tree.filter((F.col("importance") < LEAST_IMPORTANCE) & (F.col("pages") >= LEAST_PAGES))
-    low = low.join(sizes, "host").filter(F.col("pages") >= LEAST_SHARE * F.col("all"))
-    # At most 1 / LEAST_SHARE times the paths of a page for each host.
-    low = low.groupBy(F.col("host").alias("_host")).agg(F.collect_set("node").alias("_low"))
+    nodes = _nodes_of_pages(pages, url, page)
+    low = _tree(nodes).filter((F.col("importance") < LEAST_IMPORTANCE) & (F.col("pages") >= LEAST_PAGES))
+    own = nodes.select("host", "digest", F.explode("nodes.node").alias("node"))
+    own = own.join(low.select("host", "node"), ["host", "node"])
+    # A page has its own low paths only, so no list is longer than a page.
+    low = own.groupBy(F.col("host").alias("_host"), F.col("digest").alias("_digest")).agg(
+        F.collect_set("node").alias("_low")
+    )
     low = stored(low, "style-low")
-    host, _ = split_url(F.col(url))
-    joined = pages.withColumn("_own", host)
-    joined = joined.join(low, F.col("_own") == F.col("_host"), "left").drop("_host", "_own")
+    host, digest = _page_key(url, page)
+    joined = pages.withColumns({"_own": host, "_page": digest})
+    same = (F.col("_own") == F.col("_host")) & (F.col("_page") == F.col("_digest"))
+    joined = joined.join(low, same, "left").drop("_host", "_own", "_digest", "_page")
 
     @F.arrow_udf("string")
     def extracted(texts: pa.Array, lows: pa.Array) -> pa.Array:

@@ -135,6 +135,16 @@ def test_branches_that_recur_on_a_host_go(spark):
     assert extract_text(pages.limit(0)).count() == 0
 
 
+def test_boilerplate_of_a_small_part_of_a_large_host_goes(spark):
+    rows = [(k, f"http://h.org/{k}", f"<div class=t{k}>Text {k}</div>") for k in range(600)]
+    rows += [
+        (k, f"http://h.org/{k}", f"<div class=box>Read more here</div><div class=s>Text {k}</div>")
+        for k in range(600, 606)
+    ]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    assert {r.page_id: r.text for r in extract_text(pages).collect()} == {k: f"Text {k}" for k in range(606)}
+
+
 def test_query_gives_the_articles(spark):
     import html
 
