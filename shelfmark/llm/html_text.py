@@ -192,31 +192,33 @@ _NODE = T.ArrayType(
 )
 
 
-@F.arrow_udf(_NODE)
+_PAGE = T.StructType([T.StructField("texts", T.LongType()), T.StructField("nodes", _NODE)])
+
+
+@F.arrow_udf(_PAGE)
 def _nodes(pages: pa.Array) -> pa.Array:
-    """Paths of a page, how many blocks each has, and the hashes of their texts."""
+    """Hash of all block texts of a page; its paths, how many blocks each has, and their texts' hashes."""
     out = []
     for page in pages:
-        nodes = {}
+        nodes, texts = {}, []
         text_of_page = page.as_py()
         for path, text, *_ in blocks(text_of_page) or blocks(text_of_page, by_name=False):
-            nodes.setdefault(path, []).append(_number(text))
-        out.append(
-            [
-                {"node": _number(path), "layout": len(own), "contents": list(set(own))}
-                for path, own in nodes.items()
-            ]
-        )
-    kind = pa.list_(
-        pa.struct([("node", pa.int64()), ("layout", pa.int64()), ("contents", pa.list_(pa.int64()))])
-    )
-    return pa.array(out, kind)
+            texts.append(_number(text))
+            nodes.setdefault(path, []).append(texts[-1])
+        nodes = [
+            {"node": _number(path), "layout": len(own), "contents": sorted(set(own))}
+            for path, own in nodes.items()
+        ]
+        out.append({"texts": _number(repr(texts)), "nodes": sorted(nodes, key=lambda n: n["node"])})
+    node = pa.struct([("node", pa.int64()), ("layout", pa.int64()), ("contents", pa.list_(pa.int64()))])
+    return pa.array(out, pa.struct([("texts", pa.int64()), ("nodes", pa.list_(node))]))
 
 
 def style_tree(pages, url="url", page="html"):
     """(`host`, `node`, `pages`, `presentation`, `content`, `importance`) of the paths of each host.
 
-    `pages` counts the pages m that have the path. `presentation` is the entropy, to the base m, of
+    `pages` counts the pages m that have the path; pages of a host with the same block texts are copies
+    of one page and count once, with the smallest list of paths. `presentation` is the entropy, to the base m, of
     the layouts they give it. `content` is 1 less the mean spread log(c) / log(m) of its contents,
     where c pages share a content. Both are 1 for a single page. All are partial sums and joins of
     counts; a host with very many pages is never one group.
@@ -231,11 +233,12 @@ def _page_key(url, page):
 
 def _nodes_of_pages(pages, url, page):
     host, digest = _page_key(url, page)
-    nodes = pages.select(host.alias("host"), digest.alias("digest"), _nodes(F.col(page)).alias("nodes"))
-    return stored(nodes, "style-nodes")
+    nodes = pages.select(host.alias("host"), digest.alias("digest"), _nodes(F.col(page)).alias("p"))
+    return stored(nodes.select("host", "digest", "p.*"), "style-nodes")
 
 
 def _tree(nodes):
+    nodes = nodes.groupBy("host", "texts").agg(F.min("nodes").alias("nodes"))
     nodes = nodes.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
     layouts = nodes.groupBy("host", "node", "layout").agg(F.count("*").alias("n"))
     log = F.sum(F.col("n") * F.log("n"))

@@ -145,6 +145,16 @@ def test_boilerplate_of_a_small_part_of_a_large_host_goes(spark):
     assert {r.page_id: r.text for r in extract_text(pages).collect()} == {k: f"Text {k}" for k in range(606)}
 
 
+def test_copies_of_few_articles_keep_their_text(spark):
+    def page(k):
+        return f"<article><h1>T{k}</h1><div class=body><p class=lead>Lead {k}<p class=x>Rest {k}</div></article>"
+
+    rows = [(k, f"http://h.org/{k}", page(k % 2)) for k in range(200)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(pages).collect()}
+    assert got == {k: f"T{k % 2} Lead {k % 2} Rest {k % 2}" for k in range(200)}
+
+
 def test_query_gives_the_articles(spark):
     import html
 
