@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a long run with a digit, or the value given to a word like `password`. Its features
+A candidate is a long run with a digit, or the value of 6 characters or more given to a word like
+`password`, with or without blanks between; it ends at a blank, quote, comma or semicolon. Its features
 are length, transitions between kinds of characters, how much of it common words cover, whether it
 stands in a path, and the words around it. The forest is trained with Spark ML on labelled findings
 and then compiled to one expression, so that texts are scanned by built-in functions alone.
@@ -21,6 +22,11 @@ MAX_FINDINGS = 100_000
 
 _RUN = r"(?=[A-Za-z_+/\-]*[0-9])[A-Za-z0-9_+/\-]{12,}={0,2}"
 _NAMED = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api_?key)[\"']?[:=][\"']?([^\s\"',;]{6,})"
+# A value in the word after its name: the ends of the words before it, and the value.
+_NAME_ENDS = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api_?key)[\"'`]?"
+_SIGN = r"[:=]=?>?"
+_VALUE = rf"^(?:{_SIGN})?[\"'`(\[]*([^\s\"'`,;]{{6,}})"
+_LEAST_NAMED = 10  # characters of the shortest word that holds a name, a sign and a value
 # Words that name a secret, and words that name a harmless number or digest.
 _SECRET_WORDS = "password passwd pwd secret token apikey api_key key auth bearer credential access"
 _HARMLESS_WORDS = "commit sha1 sha256 md5 checksum digest hash rev id isbn order card phone version uuid"
@@ -88,7 +94,8 @@ def example_findings(spark, rows=8000):
     """Labelled findings (value, before, after, label) made by rule, for lack of a labelled table.
 
     Half are secrets in the forms that tools give them, half are harmless runs of the same shapes:
-    digests, identifiers, card and order numbers, paths, UUIDs, encoded data.
+    digests, identifiers, card and order numbers, paths, UUIDs, encoded data, and words, placeholders and
+    calls after a name like `password`.
     """
     n = F.col("id")
     hex_ = F.sha2(F.concat(F.lit("finding"), n.cast("string")), 256)
@@ -110,6 +117,10 @@ def example_findings(spark, rows=8000):
         (mixed.substr(lit(1), size), text(plain, lit("api_key='")), lit("' ")),
         (text(lit("eyJ"), mixed), text(plain, lit("Bearer ")), word),
         (text(lit("sk-"), F.substring(mixed, 1, 32)), text(plain, lit('secret: "')), lit('"')),
+        (text(word, lit("-"), other, lit("!")), text(plain, lit("password = ")), word),
+        (text(word, (n % 89).cast("string"), lit("!")), text(plain, lit('"password": "')), lit('" ')),
+        (F.substring(mixed, 1, 8), text(plain, lit("pwd:")), word),
+        (text(F.substring(word, 1, 3), (n % 899 + 100).cast("string")), text(plain, lit("pwd=")), word),
     ]
     harmless = [
         (F.substring(hex_, 1, 40), text(plain, lit("commit ")), word),
@@ -124,6 +135,10 @@ def example_findings(spark, rows=8000):
         ),
         (text(lit("/"), word, lit("/"), other, lit("/file"), (n % 999).cast("string")), text(plain, lit("https:/")), word),
         (text(F.initcap(word), F.initcap(other), lit("Number"), (n % 99).cast("string")), plain, word),
+        (text(word, other), text(plain, lit("password: ")), word),
+        (text(lit("<"), word, lit(">")), text(plain, lit("token = ")), word),
+        (text(lit("get_"), word, lit("()")), text(plain, lit("secret = ")), word),
+        (text(lit("config."), word), text(plain, lit("api_key: ")), word),
     ]
     kinds = F.array(
         *[
@@ -132,7 +147,7 @@ def example_findings(spark, rows=8000):
             for v, b, a in group
         ]
     )
-    made = spark.range(rows).select(F.element_at(kinds, (n % 16 + 1).cast("int")).alias("f"), "id")
+    made = spark.range(rows).select(F.element_at(kinds, (n % 24 + 1).cast("int")).alias("f"), "id")
     return made.select("f.*")
 
 
@@ -191,15 +206,33 @@ def _as_column(tree, own):
 def _candidates(text):
     """Distinct (value, before, after) of the candidates in the words of a text, in order."""
 
-    def values(word):
-        return F.array_union(
-            F.regexp_extract_all(word, F.lit(_RUN), 0), F.regexp_extract_all(word, F.lit(_NAMED), 1)
+    none = F.array().cast("array<string>")
+
+    def given(words, i):
+        """Whether the words before, or the sign it begins with, make a word a value."""
+        name, sign = F.lit(_NAME_ENDS + "$"), F.lit(f"^{_SIGN}$")
+        one, two = F.get(words, i - 1), F.get(words, i - 2)
+        return F.coalesce(F.rlike(one, F.lit(_NAME_ENDS + _SIGN + "$")), F.lit(False)) | F.coalesce(
+            F.rlike(one, name) & F.rlike(F.get(words, i), F.lit("^[:=]"))
+            | F.rlike(one, sign) & F.rlike(two, name),
+            F.lit(False),
         )
 
+    def values(words, i):
+        word = F.get(words, i)
+        own = F.when(
+            F.length(word) >= _LEAST_NAMED,
+            F.array_union(
+                F.regexp_extract_all(word, F.lit(_RUN), 0), F.regexp_extract_all(word, F.lit(_NAMED), 1)
+            ),
+        ).otherwise(none)
+        next_ = F.when(given(words, i), F.regexp_extract_all(word, F.lit(_VALUE), 1)).otherwise(none)
+        return F.array_union(own, next_)
+
     def of_words(words):
         places = F.filter(
             F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0))),
-            lambda i: (F.length(F.get(words, i)) >= 12) & (F.size(values(F.get(words, i))) > 0),
+            lambda i: (F.length(F.get(words, i)) >= 6) & (F.size(values(words, i)) > 0),
         )
 
         def near(i):
@@ -207,7 +240,7 @@ def _candidates(text):
             blank = F.lit("")
             lead = F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), blank)
             return F.transform(
-                values(word),
+                values(words, i),
                 lambda value: F.struct(
                     value.alias("value"),
                     F.concat(lead, F.call_function("substring_index", word, value, F.lit(1))).alias("before"),

@@ -56,6 +56,23 @@ def test_secrets_of_small_texts(spark, forest):
     assert secrets.scan(docs.limit(0), forest).count() == 0
 
 
+def test_short_values_and_values_after_a_blank(spark, forest):
+    texts = {
+        "log in with pwd=abc123 here": "abc123",
+        "log in with pwd:hunter2 here": "hunter2",
+        "the password = correct-horse! is set": "correct-horse!",
+        'in {"user": "x", "password": "hunter2!"} we': "hunter2!",
+        "and password =hunter2! again": "hunter2!",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.text: r for r in secrets.scan(docs, forest).collect()}
+    found = {text: [(f.value, f.score) for f in row.findings] for text, row in got.items()}
+    assert {text: row.secrets for text, row in got.items()} == {t: [v] for t, v in texts.items()}, found
+    plain = spark.createDataFrame([(1, "no password: required, token = <given> and so on")], docs.schema)
+    row = secrets.scan(plain, forest).first()
+    assert len(row.findings) == 2 and row.secrets == []
+
+
 def test_planted_secrets_of_all_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     rows = QUERIES["op10_secret_scan"](spark, "/root/testdata/sf0.01").collect()
