@@ -1,14 +1,16 @@
-"""The ten operators over the whole test tables, and the SQL of those that SQL can express."""
+"""The operators over the whole test tables, and the SQL of those that SQL can express."""
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import line_quality, toxicity
 from .bpe import encode_summary
 from .decontaminate import mark
 from .html_text import extract_text
 from .near_dup import near_duplicates
+from .periodic import find_runs, greatest_run, plant_runs
 from .quality import STOP_WORDS, judge
+from .resample import ranked, weigh
 from .secrets import example_findings, scan, train
 from .sharding import assign_shards
 from .token_count import count_tokens
@@ -186,3 +188,88 @@ def op8_html_text(spark, folder):
     """Main text of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return extract_text(pages).drop("html")
+
+
+# CRC-32 of a word by its bytes; the table of its 256 remainders is built by rule.
+_CRC_SQL = """
+    remainders AS (
+        SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i:
+            CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY b) AS t
+        FROM (SELECT unnest(range(256)) AS b)),
+    crcs AS (
+        SELECT word, xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(1, strlen(word) + 1), lambda i:
+                CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS BIGINT))),
+            lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 10000 AS bucket
+        FROM (SELECT DISTINCT word FROM words), remainders)
+"""
+_WORDS_11 = """
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+"""
+ORACLE["op11_resampling"] = f"""
+    WITH docs AS (SELECT *, row_number() OVER () AS row FROM documents),
+    words AS (
+        SELECT row, {_WORDS_11} FROM docs
+        UNION ALL SELECT NULL, {_WORDS_11} FROM benchmark),
+    {_CRC_SQL},
+    counts AS (SELECT row, bucket, count(*) AS n FROM words JOIN crcs USING (word) GROUP BY ALL),
+    totals AS (
+        SELECT bucket, CAST(coalesce(sum(n) FILTER (WHERE row IS NOT NULL), 0) AS DOUBLE) AS s,
+               CAST(coalesce(sum(n) FILTER (WHERE row IS NULL), 0) AS DOUBLE) AS t
+        FROM counts GROUP BY bucket),
+    gains AS (
+        SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000)
+                   / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain
+        FROM totals),
+    weights AS (
+        SELECT row, CAST(sum(n) AS BIGINT) AS n_features,
+               CAST(floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS BIGINT) AS weight
+        FROM counts JOIN gains USING (bucket) WHERE row IS NOT NULL GROUP BY row),
+    scored AS (
+        SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(
+                   sha256('2024:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT)
+                   AS score
+        FROM docs LEFT JOIN weights USING (row)),
+    placed AS (
+        SELECT *, row_number() OVER (ORDER BY n_features >= 20 DESC, score DESC, doc_id) AS place,
+               count(*) FILTER (WHERE n_features >= 20) OVER () AS fit
+        FROM scored)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * fit // 100 THEN place END AS rank
+    FROM placed
+"""
+
+
+@query
+def op11_resampling(spark, folder):
+    """Weight, score and place of every document among those drawn towards the benchmark."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weighed = weigh(docs, table(spark, folder, "benchmark")).drop("text")
+    return ranked(weighed).drop("n_words")
+
+
+@query
+def op12_line_quality(spark, folder):
+    """Score of every document by its lines, from labels that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    field = line_quality.train(docs, table(spark, folder, "labels"))
+    scored = line_quality.score(docs, field).drop("text")
+    return scored.withColumn("held_out", line_quality.held_out())
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    """Runs of every document, some of which end in a planted one, and the text without them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_runs(plant_runs(docs)).withColumn("best", greatest_run("runs"))
+    row = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(row, lambda text: F.concat(text, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
