@@ -94,5 +94,18 @@ def batch_stamp(col):
     return F.date_format(_col(col), "yyyyMMdd_HHmmss")
 
 
+def sql_text(value):
+    """A string as a literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def pinned(col):
+    """The column, as a value that Spark computes where it stands.
+
+    Else a filter on it is moved to below, with all that the column is made of written out in it.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, col)
+
+
 def _col(col):
     return F.col(col) if isinstance(col, str) else col

@@ -2,32 +2,34 @@
 
 Regular expressions, not a parser: an element ends at its closing tag, at the next opening tag that
 is wanted as well, or at the end of the HTML, so one that is never closed is found. Elements of its
-name but not of its class may be nested in it, one deep. Attribute values may be double-quoted,
-single-quoted or bare.
+name but not of its class may be nested in it, one deep; `dom` finds elements at any depth. Attribute
+values may be double-quoted, single-quoted or bare.
 """
 
 import re
 
 from pyspark.sql import functions as F
 
+from .entities import unescape  # noqa: F401
+
 _QUOTED = r""""[^"]*+"|'[^']*+'"""
-_REST_OF_TAG = rf"(?>[^>\"']++|{_QUOTED})*+>"
+REST_OF_TAG = rf"(?>[^>\"']++|{_QUOTED})*+>"
 _VALUE = rf"""({_QUOTED}|[^\s"'>]+)"""
-_NAME_END = r"(?![\w:-])"
+NAME_END = r"(?![\w:-])"
 # Names of tags and attributes ignore case; class tokens do not.
 _CLASS = r"\s(?i:class)\s*=\s*"
 
 
 def _until_closed(tag):
     """Everything up to the first closing tag, without backtracking."""
-    return rf"[^<]*+(?:<(?!/(?i:{tag}){_NAME_END})[^<]*+)*+"
+    return rf"[^<]*+(?:<(?!/(?i:{tag}){NAME_END})[^<]*+)*+"
 
 
-_COMMENT = r"!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
-_CODE = "|".join(
-    rf"(?i:{tag}){_NAME_END}{_until_closed(tag)}</(?i:{tag})\s*>" for tag in ("script", "style")
+COMMENT = r"!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
+CODE = "|".join(
+    rf"(?i:{tag}){NAME_END}{_until_closed(tag)}</(?i:{tag})\s*>" for tag in ("script", "style")
 )
-_NOISE = f"<(?:{_COMMENT}|{_CODE})"
+_NOISE = f"<(?:{COMMENT}|{CODE})"
 
 
 def drop_noise(html):
@@ -47,12 +49,12 @@ def element(html, tag, css_class=None):
 
 def opening_tag(html, tag, css_class=None, within=None):
     """The first such opening tag, or that of the first `within` element; empty if none."""
-    wanted = _open(tag, css_class)
+    wanted = opening_pattern(tag, css_class)
     if within is None:
         return F.regexp_extract(html, wanted, 0)
-    before = rf"[^<]*+(?:<(?!(?i:{within}){_NAME_END})[^<]*+)*+"
-    between = rf"[^<]*+(?:<(?!(?:{wanted[1:]})|/(?i:{within}){_NAME_END})[^<]*+)*+"
-    return F.regexp_extract(html, f"^{before}{_open(within, None)}{between}({wanted})", 1)
+    before = rf"[^<]*+(?:<(?!(?i:{within}){NAME_END})[^<]*+)*+"
+    between = rf"[^<]*+(?:<(?!(?:{wanted[1:]})|/(?i:{within}){NAME_END})[^<]*+)*+"
+    return F.regexp_extract(html, f"^{before}{opening_pattern(within, None)}{between}({wanted})", 1)
 
 
 def attribute(tag, name):
@@ -65,42 +67,24 @@ def attribute(tag, name):
 
 def text(html):
     """Text without tags, entities not yet decoded."""
-    return F.regexp_replace(html, f"</?[a-zA-Z]{_REST_OF_TAG}", "")
-
+    return F.regexp_replace(html, f"</?[a-zA-Z]{REST_OF_TAG}", "")
 
-def unescape(col):
-    """Decode HTML entities. Only values that hold an ampersand travel to Python."""
-    return F.coalesce(_unescape_udf()(F.when(F.contains(col, F.lit("&")), col)), col)
 
-
-def _open(tag, css_class):
+def opening_pattern(tag, css_class):
     if css_class is None:
-        return rf"<(?i:{tag}){_NAME_END}{_REST_OF_TAG}"
+        return rf"<(?i:{tag}){NAME_END}{REST_OF_TAG}"
     name = re.escape(css_class)
     skip = rf"(?>(?!{_CLASS})(?:[^>\"']|{_QUOTED}))*+"
     double = rf'"(?:[^"]*\s)?{name}(?:\s[^"]*)?"'
     single = rf"'(?:[^']*\s)?{name}(?:\s[^']*)?'"
     bare = rf"{name}(?=[\s>])"
     has_class = rf"(?={skip}{_CLASS}(?:{double}|{single}|{bare}))"
-    return rf"<(?i:{tag}){_NAME_END}{has_class}{_REST_OF_TAG}"
+    return rf"<(?i:{tag}){NAME_END}{has_class}{REST_OF_TAG}"
 
 
 def _element(tag, css_class):
-    wanted = _open(tag, css_class)
-    same = rf"(?i:{tag}){_NAME_END}"
-    within = rf"<(?!{wanted[1:]}){same}{_REST_OF_TAG}[^<]*+(?:<(?!/?{same})[^<]*+)*+</(?i:{tag})\s*>"
+    wanted = opening_pattern(tag, css_class)
+    same = rf"(?i:{tag}){NAME_END}"
+    within = rf"<(?!{wanted[1:]}){same}{REST_OF_TAG}[^<]*+(?:<(?!/?{same})[^<]*+)*+</(?i:{tag})\s*>"
     content = rf"[^<]*+(?:(?:{within}|<(?!/{same}|{wanted[1:]}))[^<]*+)*+"
     return rf"{wanted}({content})(?:</(?i:{tag})\s*>|(?=<)|\z)"
-
-
-def _unescape_udf():
-    import html as entities
-
-    import pandas as pd
-
-    # A local function is shipped by value, so executors need not have this package.
-    def decode(values: pd.Series) -> pd.Series:
-        return values.map(entities.unescape, na_action="ignore")
-
-    # Marked non-deterministic so a filter on the result does not evaluate it a second time.
-    return F.pandas_udf(decode, "string").asNondeterministic()

@@ -2,18 +2,24 @@
 
 from pyspark.sql import functions as F
 
+from .sketches import estimates, sketch_by
+
 
 def top_k(df, order, k):
     """The first k rows in a total order. Spark keeps k rows per task, then merges them."""
     return df.orderBy(*order).limit(k)
 
 
-def count_by(df, key, rows, distinct):
-    """Rows and exact distinct values per key, in key order.
+def count_by(df, key, rows, distinct, exact=True):
+    """Rows and distinct values per key, in key order.
 
-    `distinct` maps output names to columns; nulls are not counted. Distinct values are first
-    reduced in the map tasks and then spread by (key, value), so a hot key is not one task.
+    `distinct` maps output names to columns; nulls are not counted. Exact distinct values are first
+    reduced in the map tasks and then spread by (key, value), so a hot key is not one task. With
+    `exact=False` they are estimated by sketches, of which a task sends one a key.
     """
+    if not exact:
+        counted = estimates(sketch_by(df, [key], rows, distinct), distinct)
+        return counted.orderBy(F.col(key).asc())
     counts = [F.count_distinct(F.col(column)).alias(name) for name, column in distinct.items()]
     return df.groupBy(key).agg(F.count("*").alias(rows), *counts).orderBy(F.col(key).asc())
 

@@ -34,9 +34,8 @@ def is_between(column, low, high):
 
 def is_unique(*columns):
     # Inside a struct a NULL key counts as one value, as it does in deduplication.
-    key = [F.col(column) for column in columns]
     return Check(
-        "unique", ",".join(columns), lambda: F.count("*") - F.count_distinct(F.struct(*key))
+        "unique", ",".join(columns), lambda: F.count("*") - F.count_distinct(F.struct(*columns))
     )
 
 

@@ -1,8 +1,14 @@
 """The Bronze, Silver and Gold runs, step by step, with a status row for every step.
 
+A Silver or Gold table is written beside the one it replaces, checked, and then put in its place, so
+that a step that fails leaves the old table. Gold over a Silver table that is missing is an error.
 One step failing does not stop the others, but a run with failures ends in StepsFailed, which
-carries the status table. Rows are counted by the write itself. `rows_out` is exact; `rows_in` is
-counted in tasks that may run again after an executor is lost, and can then come out too high.
+carries the status table.
+
+Rows are counted by the write itself: its last stage counts a task once, however often it ran. What a
+Silver or Gold step reads is known from the batch, or from the footers of its files. Only batches that
+others have written are counted as they are read, in tasks that may run again after an executor is
+lost; their `rows_in` can then come out too high.
 """
 
 import time
@@ -18,13 +24,15 @@ from pyspark.sql import functions as F
 from ..operators.rows import add_lineage, moment
 from ..schemas import STEP_STATUS
 from ..session import sized_for
-from ..sinks.tables import RowCount, overwrite_table, write_batch
+from ..sinks.tables import RowCount, batch_rows, overwrite_table, publish_table, write_batch
 from ..sources.landing import all_records
 from ..sources.layers import read_batch, read_bronze, read_silver
 from ..sources.pages import WEB_SOURCE, all_cards, read_raw_pages
 from ..sources.responses import API_SOURCE, all_works, read_raw_responses
-from .gold import GOLD_JOBS
-from .silver import SILVER_JOBS
+from .gold import GOLD_CHECKS, GOLD_JOBS
+from .ledger import Ledger
+from .merge import merge_silver, merge_years
+from .silver import SILVER_CHECKS, SILVER_JOBS
 
 SOURCES = ("web", "csv", "api")
 
@@ -41,6 +49,7 @@ class Inputs:
     subjects: tuple[str, ...] | None = None
     works_per_subject: int | None = None
     raw_partitions: int | None = None
+    pages_by_number: bool = False
 
     def sources(self):
         paths = {"web": self.pages, "csv": self.landing_csv, "api": self.responses}
@@ -49,7 +58,7 @@ class Inputs:
 
 @dataclass(frozen=True)
 class Step:
-    """A step's result: OK, ERROR, or SKIPPED when its input step failed."""
+    """A step's result: OK, KEPT from the run before, ERROR, or SKIPPED when its input step failed."""
 
     step: str
     status: str
@@ -80,16 +89,22 @@ class _Work:
     # Parquet tells its rows without reading them. To watch them go by would keep filters from the
     # scan.
     by_footer: bool = False
+    # Rows that are known before they are read; None if they are not.
+    rows_in: int | None = None
 
 
 def run_bronze(spark, inputs, layers, batch_ts=None, raise_on_error=True, formats=None):
     """Raw data of every given source -> one Bronze batch each.
 
-    `formats` names the file format of a source, where it is not the usual one.
+    `formats` names the file format of a source, where it is not the usual one. A run_all of the same
+    `batch_ts` can resume from here.
     """
     batch_ts = batch_ts or datetime.now(timezone.utc)
+    ledger = Ledger(spark, layers, batch_ts)
     steps = [
-        _bronze_step(spark, source, inputs, layers, batch_ts, (formats or {}).get(source))
+        _noted(
+            ledger, _bronze_step(spark, source, inputs, layers, batch_ts, (formats or {}).get(source))
+        )
         for source in inputs.sources()
     ]
     return _finish(spark, steps, raise_on_error)
@@ -103,24 +118,34 @@ def run_silver(
     raise_on_error=True,
     input_bytes=None,
     formats=None,
+    buckets=None,
     **read,
 ):
     """All Bronze batches of each source -> its Silver table. `read` goes to read_bronze.
 
-    `input_bytes` sizes the shuffles, `formats` names the file format of a source.
+    `input_bytes` sizes the shuffles, `formats` names the file format of a source. With `buckets` only
+    batches that are not in the table yet are read, and merged into a table of so many buckets.
     """
     with sized_for(spark, "silver", input_bytes):
         steps = [
-            _silver_step(spark, source, layers, batch_ts, {"fmt": (formats or {}).get(source), **read})
+            _silver_step(
+                spark, source, layers, batch_ts, {"fmt": (formats or {}).get(source), **read}, buckets
+            )
             for source in sources
         ]
     return _finish(spark, steps, raise_on_error)
 
 
-def run_gold(spark, layers, tables=tuple(GOLD_JOBS), raise_on_error=True, input_bytes=None):
-    """Silver tables -> the named Gold tables."""
+def run_gold(
+    spark, layers, tables=tuple(GOLD_JOBS), raise_on_error=True, input_bytes=None, sketch_buckets=None
+):
+    """Silver tables -> the named Gold tables.
+
+    `sketch_buckets`, the buckets that Silver was merged into, makes the table of years from kept
+    sketches: authors and publishers are then estimated, and only buckets that changed are read.
+    """
     with sized_for(spark, "gold", input_bytes):
-        steps = [_gold_step(spark, table, layers) for table in tables]
+        steps = [_gold_step(spark, table, layers, sketch_buckets) for table in tables]
     return _finish(spark, steps, raise_on_error)
 
 
@@ -133,34 +158,55 @@ def run_all(
     raise_on_error=True,
     input_bytes=None,
     formats=None,
+    buckets=None,
+    resume=False,
 ):
     """Bronze then Silver for each source, then Gold.
 
+    `resume` goes on with the run of the same `batch_ts`: steps that it finished are KEPT, unless their
+    files have gone or a step before them runs again.
+
     `input_bytes`, of the raw data, sizes the shuffles of each layer. `formats` names the Bronze
     format of a source, such as {"csv": "parquet"} for a run too large for files that one task reads.
+    `buckets` makes Silver take in new batches only, as in run_silver.
 
     A Gold table is built when its own source succeeded. `parallel` runs the chains of the
     sources, and then the Gold tables, as concurrent jobs of the one application.
     """
     batch_ts = batch_ts or datetime.now(timezone.utc)
 
+    ledger = Ledger(spark, layers, batch_ts, resume)
+
     def chain(source):
         fmt = (formats or {}).get(source)
-        bronze = _bronze_step(spark, source, inputs, layers, batch_ts, fmt)
-        if bronze.status != "OK":
+        bronze = _kept_or(
+            ledger,
+            f"bronze/{source}",
+            lambda: _bronze_step(spark, source, inputs, layers, batch_ts, fmt),
+        )
+        if bronze.status not in _DONE:
             return [bronze, Step(f"silver/{source}", "SKIPPED", error="no new Bronze batch")]
-        return [bronze, _silver_step(spark, source, layers, batch_ts, {"fmt": fmt})]
+        silver = _kept_or(
+            ledger,
+            f"silver/{source}",
+            lambda: _silver_step(spark, source, layers, batch_ts, {"fmt": fmt}, buckets),
+            bronze,
+        )
+        return [bronze, silver]
 
     with sized_for(spark, "silver", input_bytes):
         chains = _each(spark, chain, inputs.sources(), parallel)
     steps = [step for chained in chains for step in chained]
-    done = {step.step for step in steps if step.status == "OK"}
+    before = {step.step: step for step in steps}
 
     def table(name):
         source, _ = GOLD_JOBS[name]
-        if f"silver/{source}" not in done:
+        silver = before[f"silver/{source}"]
+        if silver.status not in _DONE:
             return Step(f"gold/{name}", "SKIPPED", error=f"no Silver table of {source}")
-        return _gold_step(spark, name, layers)
+        return _kept_or(
+            ledger, f"gold/{name}", lambda: _gold_step(spark, name, layers), silver
+        )
 
     wanted = [name for name, (source, _) in GOLD_JOBS.items() if source in inputs.sources()]
     with sized_for(spark, "gold", input_bytes):
@@ -168,10 +214,35 @@ def run_all(
     return _finish(spark, steps, raise_on_error)
 
 
+_DONE = ("OK", "KEPT")
+
+
+def _kept_or(ledger, name, run, before=None):
+    """The step as the ledger has it, or else as it runs now; it runs if the step before it ran."""
+    noted = ledger.kept(name) if before is None or before.status == "KEPT" else None
+    if noted is not None:
+        return Step(name, "KEPT", noted["rows_in"], noted["rows_out"], 0.0, noted["path"])
+    ledger.forget(name)
+    return _noted(ledger, run())
+
+
+def _noted(ledger, step):
+    if step.status == "OK":
+        ledger.note(step.step, step.rows_in, step.rows_out, step.path)
+    return step
+
+
 def _bronze_step(spark, source, inputs, layers, batch_ts, fmt=None):
     readers = {
         "web": lambda: all_cards(
-            read_raw_pages(spark, inputs.pages, inputs.raw_format, inputs.raw_partitions),
+            read_raw_pages(
+                spark,
+                inputs.pages,
+                inputs.raw_format,
+                inputs.raw_partitions,
+                inputs.pages_by_number,
+                inputs.max_pages,
+            ),
             max_pages=inputs.max_pages,
         ),
         "csv": lambda: all_records(spark, inputs.landing_csv),
@@ -199,42 +270,83 @@ def _bronze_step(spark, source, inputs, layers, batch_ts, fmt=None):
     )
 
 
-def _silver_step(spark, source, layers, batch_ts, read):
+def _silver_step(spark, source, layers, batch_ts, read, buckets=None):
+    if buckets:
+        return _merge_step(spark, source, layers, batch_ts, read.get("fmt"), buckets)
     return _run(
         f"silver/{source}",
         _Work(
             lambda: read_bronze(spark, layers, source, **read),
             lambda df: SILVER_JOBS[source](df, batch_ts),
-            lambda df: overwrite_table(df, layers.silver_path(source)),
+            lambda df: _publish(df, layers.silver_path(source), SILVER_CHECKS[source]),
             spark.read.parquet,
             by_footer=read.get("fmt") == "parquet",
+            rows_in=batch_rows(spark, layers, source),
         ),
     )
 
 
-def _gold_step(spark, table, layers):
+def _merge_step(spark, source, layers, batch_ts, fmt, buckets):
+    """As any step; `rows_in` are those of new batches, `rows_out` those of the whole table."""
+    name, start, rows_in = f"silver/{source}", time.monotonic(), RowCount()
+    seen = []
+
+    def watch(rows, names):
+        known = batch_rows(spark, layers, source, names)
+        seen.append((rows, known))
+        return rows if known is not None else rows_in.watch(rows)
+
+    try:
+        path = merge_silver(spark, layers, source, buckets, batch_ts, fmt, watch)
+        rows, counted = seen[0] if seen else (None, 0)
+        counted = rows_in.rows() if counted is None else counted
+        counted = rows.count() if counted is None else counted
+        rows_out = read_silver(spark, layers, source).count()  # from footers
+        return Step(name, "OK", counted, rows_out, time.monotonic() - start, path)
+    except Exception as error:  # a step reports its failure and lets the others run
+        return Step(name, "ERROR", seconds=time.monotonic() - start, error=_reason(error))
+
+
+def _gold_step(spark, table, layers, sketch_buckets=None):
     source, job = GOLD_JOBS[table]
+    if sketch_buckets and table == "books_by_year":
+        return _years_step(spark, layers, sketch_buckets)
     return _run(
         f"gold/{table}",
         _Work(
             lambda: read_silver(spark, layers, source),
             job,
-            lambda df: overwrite_table(df, layers.gold_path(table)),
+            lambda df: _publish(df, layers.gold_path(table), GOLD_CHECKS[table]),
             spark.read.parquet,
             by_footer=True,
         ),
     )
 
 
+def _years_step(spark, layers, buckets):
+    name, start = "gold/books_by_year", time.monotonic()
+    try:
+        path = merge_years(spark, layers, buckets)
+        rows = [read_silver(spark, layers, "csv").count(), spark.read.parquet(path).count()]  # from footers
+        return Step(name, "OK", *rows, time.monotonic() - start, path)
+    except Exception as error:  # a step reports its failure and lets the others run
+        return Step(name, "ERROR", seconds=time.monotonic() - start, error=_reason(error))
+
+
+def _publish(df, path, checks):
+    return publish_table(df, path, checks, lambda own, folder: overwrite_table(own, folder))
+
+
 def _run(name, work):
     start = time.monotonic()
     try:
         rows_in, rows_out = RowCount(), RowCount()
         source = work.read()
-        watched = source if work.by_footer else rows_in.watch(source)
+        unwatched = work.by_footer or work.rows_in is not None
+        watched = source if unwatched else rows_in.watch(source)
         path = work.write(rows_out.watch(work.shape(watched)))
         # Spark drops the observations of a plan it finds to be empty at run time.
-        counted_in = None if work.by_footer else rows_in.rows()
+        counted_in = work.rows_in if unwatched else rows_in.rows()
         counted_out = rows_out.rows()
         return Step(
             name,

@@ -7,6 +7,7 @@ names to SQL over those tables. The book jobs get their input from these tables:
 
 from datetime import datetime, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from .functions import html as H
@@ -39,15 +40,16 @@ from .operators.rows import (
     positive,
     require,
 )
+from .operators.sketches import estimates, relative_error, sketch_by, union_sketches
 from .plans.gold import gold_by_year, gold_price_stats, gold_top_rated, gold_top_subjects
-from .plans.jobs import Inputs, run_all
+from .plans.jobs import Inputs, run_all, run_bronze, run_silver
 from .plans.silver import silver_api, silver_csv, silver_web
 from .schemas import LANDING_CSV_COLUMNS
 from .session import Layers, shared_folder
-from .sinks.tables import overwrite_table, write_batch
+from .sinks.tables import TableRejected, overwrite_table, publish_table, write_batch
 from .sources.landing import read_landing_csv
-from .sources.layers import read_bronze, read_silver
-from .sources.pages import WEB_SOURCE, cards_from_pages
+from .sources.layers import open_table, read_bronze, read_silver
+from .sources.pages import WEB_SOURCE, cards_from_pages, read_raw_pages, store_raw_pages
 from .sources.responses import API_SOURCE, works_from_responses
 
 QUERIES = {}
@@ -110,6 +112,32 @@ def shipments_by_year(spark, folder):
     )
 
 
+@query("""
+    SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n_lines,
+           count(DISTINCT l_partkey) AS n_parts, count(DISTINCT l_orderkey) AS n_orders,
+           TRUE AS parts_fit, TRUE AS orders_fit
+    FROM lineitem GROUP BY 1
+""")
+def shipments_from_sketches(spark, folder):
+    """Distinct counts, and whether estimates from sketches of each return flag are within 4 errors."""
+    lines = table(spark, folder, "lineitem").withColumn("year", F.year("l_shipdate"))
+    distinct = {"parts": "l_partkey", "orders": "l_orderkey"}
+    parts = sketch_by(lines, ["l_returnflag", "year"], "n_lines", distinct)
+    kept = f"{shared_folder(spark, 'sketches')}/years"
+    overwrite_table(parts, kept)
+    whole = union_sketches(open_table(spark, kept), ["year"], "n_lines", distinct)
+    exact = count_by(lines, "year", "n", {"n_parts": "l_partkey", "n_orders": "l_orderkey"}).drop("n")
+    both = estimates(whole, distinct).join(exact, "year")
+
+    def fits(name):
+        return F.abs(F.col(name) - F.col(f"n_{name}")) <= 4 * relative_error() * F.col(f"n_{name}")
+
+    return both.select(
+        "year", "n_lines", "n_parts", "n_orders",
+        fits("parts").alias("parts_fit"), fits("orders").alias("orders_fit"),
+    )
+
+
 @query("""
     SELECT p_size, count(*) AS n_parts,
            round(min(CAST(p_retailprice AS FLOAT)), 2) AS min_price,
@@ -364,8 +392,18 @@ _WORKS_SQL = f"""
 """
 
 
+# How many tasks share the parsing of raw pages and responses. The tables lie in few files, which alone
+# would leave most cores idle.
+RAW_PARTITIONS_SETTING = "spark.shelfmark.rawPartitions"
+
+
+def raw_partitions(spark):
+    return int(spark.conf.get(RAW_PARTITIONS_SETTING, str(spark.sparkContext.defaultParallelism)))
+
+
 def documents_of(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text", "lang")
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return documents.repartition(raw_partitions(spark))
 
 
 def pages_of_documents(documents, card=None):
@@ -383,6 +421,23 @@ def pages_of_documents(documents, card=None):
     )
 
 
+def pages_of_cards_in_cards(documents):
+    """As pages_of_documents, but of each four cards the later lie in the earlier."""
+    end = "</article></li>"
+    cards = F.transform(F.split("text", "\n"), _card_html)
+    opened = F.transform(cards, lambda card: F.substr(card, F.lit(1), F.length(card) - len(end)))
+    fours = F.transform(
+        F.sequence(F.lit(0), F.size(cards) - 1, F.lit(4)),
+        lambda at: F.concat(
+            F.array_join(F.slice(opened, at + 1, F.lit(4)), ""),
+            F.repeat(F.lit(end), F.least(F.lit(4), F.size(cards) - at)),
+        ),
+    )
+    return documents.select(
+        F.lit("http://shop.example.com/page-1.html").alias("url"), F.array_join(fours, "\n").alias("html")
+    )
+
+
 def _broken_card(line):
     """A card with a paragraph or itself left open, or with an article within."""
     whole, kind = _card_html(line), F.length(line) % 4
@@ -394,6 +449,19 @@ def _broken_card(line):
     )
 
 
+def _nested_card(line):
+    """A card that holds articles one to four deep, some of them left open, before and after its fields."""
+    whole, depth = _card_html(line), F.length(line) % 4 + 1
+    note = F.lit('<article class="note"><p class="price">new</p><p class="stock">')
+    end = F.when(F.length(line) % 3 == 0, F.lit("</article>")).otherwise(F.lit("</p></article>"))
+    notes = F.concat(F.repeat(note, depth.cast("int")), F.repeat(end, depth.cast("int")))
+    return F.replace(
+        F.replace(whole, F.lit("<h3>"), F.concat(notes, F.lit("<h3>"))),
+        F.lit("</article></li>"),
+        F.concat(notes, F.lit("</article></li>")),
+    )
+
+
 def _card_html(line):
     size = F.length(line)
     title = line
@@ -444,6 +512,18 @@ def broken_cards(spark, folder):
     return cards_from_pages(pages_of_documents(documents_of(spark, folder), _broken_card))
 
 
+@query(f"SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL})")
+def nested_cards(spark, folder):
+    """Cards with other articles in them, up to four deep."""
+    return cards_from_pages(pages_of_documents(documents_of(spark, folder), _nested_card))
+
+
+@query(f"SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL})")
+def cards_in_cards(spark, folder):
+    """Cards each of which lies in the one before it on its page, four deep."""
+    return cards_from_pages(pages_of_cards_in_cards(documents_of(spark, folder)))
+
+
 @query(f"""
     SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL}) WHERE doc_id % 20 <= 10
 """)
@@ -452,6 +532,16 @@ def product_cards_capped(spark, folder):
     return cards_from_pages(pages_of_documents(documents_of(spark, folder)), max_pages=10)
 
 
+@query(f"""
+    SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL}) WHERE doc_id % 20 <= 10
+""")
+def product_cards_pruned(spark, folder):
+    """As product_cards_capped, from pages stored by number, of which the scan leaves out most."""
+    path = f"{shared_folder(spark, 'pages')}/pages"
+    store_raw_pages(pages_of_documents(documents_of(spark, folder)), path)
+    return cards_from_pages(read_raw_pages(spark, path, by_number=True, max_pages=10))
+
+
 @query(f"""
     SELECT title, array_to_string(authors, '|') AS authors, first_publish_year, subject,
            edition_count, key
@@ -486,10 +576,8 @@ def page_articles(spark, folder):
     body = H.elements(F.regexp_replace("html", "(?s)<!--.*?-->", ""), "article")
     articles = table(spark, folder, "pages").select("page_id", F.explode(body).alias("body"))
     return articles.select(
-        "page_id",
-        H.unescape(H.text(H.element(F.col("body"), "h1"))).alias("heading"),
-        F.length("body").alias("size"),
-    )
+        H.text(H.element(F.col("body"), "h1")).alias("heading"), F.length("body").alias("size"), "page_id"
+    ).select("page_id", H.unescape("heading").alias("heading"), "size")
 
 
 @query("""
@@ -682,6 +770,44 @@ def parquet_roundtrip(spark, folder):
     return spark.read.parquet(path)
 
 
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem")
+def replace_after_failure(spark, folder):
+    """A table that two writes fail to replace: one breaks off at its last rows, one breaks a check."""
+    path = f"{shared_folder(spark, 'replaced')}/lines"
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    publish_table(lines.withColumn("l_extendedprice", F.lit(1.0)), path, [not_empty()])
+    publish_table(lines, path, [is_positive("l_extendedprice"), is_unique("l_orderkey", "l_linenumber")])
+    last = lines.agg(F.max("l_orderkey")).first()[0]
+    failing = F.when(F.col("l_orderkey") == last, F.raise_error(F.lit("broken off")).cast("double"))
+    price = F.coalesce(failing, F.lit(0.0))
+    for attempt, checks in ((lines.withColumn("l_extendedprice", price), []), (lines.limit(0), [not_empty()])):
+        try:
+            publish_table(attempt, path, checks)
+        except (PySparkException, TableRejected):
+            continue
+        raise AssertionError("a broken table was published")
+    return open_table(spark, path)
+
+
+@query("""
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+           CASE WHEN doc_id % 5 = 3 THEN NULL
+                ELSE lang || ' 5" disk, ' || text END AS text,
+           CASE WHEN doc_id % 5 = 3 THEN NULL ELSE '7"' || source END AS source
+    FROM documents
+""")
+def landing_irregular_splits(spark, folder):
+    """Files read in splits, with line breaks in quotes beside single quotes in unquoted fields."""
+    own, kind = F.col("doc_id").cast("string"), F.col("doc_id") % 5
+    quoted = _csv_row(own, F.concat("lang", F.lit(' 5" disk, '), "text"))
+    tail = F.concat(F.lit('7"'), "source")
+    line = F.when(kind == 3, F.concat(F.lit('"'), own, F.lit('"'))).otherwise(F.concat_ws(",", quoted, tail))
+    documents = table(spark, folder, "documents")
+    path = _write_lines(spark, documents.select(line), "doc_id,text,source")
+    columns = ["doc_id", "text", "source"]
+    return read_landing_csv(spark, path, columns, na_tokens=[], large_file_bytes=0)
+
+
 # --- Silver and Gold jobs ---------------------------------------------------------------------
 
 
@@ -838,7 +964,8 @@ def table_quality(spark, folder):
     return quality_report(part, checks, required=["p_name", "isbn"])
 
 
-@query(f"""
+def _status_sql(bronze):
+    return f"""
     WITH lines AS (SELECT count(*) AS n FROM ({_LINES_SQL})),
          dump AS (SELECT count(*) AS n FROM orders),
          web AS (SELECT title, ANY_VALUE(rating) AS rating FROM ({_CARDS_SQL})
@@ -848,9 +975,9 @@ def table_quality(spark, folder):
                         PARTITION BY isbn
                         ORDER BY title DESC, author DESC, year DESC, publisher DESC) = 1),
          api AS (SELECT subject FROM ({_SILVER_API_SQL}))
-    SELECT 'bronze/web' AS step, 'OK' AS status, n AS rows_in, n AS rows_out FROM lines
-    UNION ALL SELECT 'bronze/csv', 'OK', n, n FROM dump
-    UNION ALL SELECT 'bronze/api', 'OK', n, n FROM lines
+    SELECT 'bronze/web' AS step, '{bronze}' AS status, n AS rows_in, n AS rows_out FROM lines
+    UNION ALL SELECT 'bronze/csv', '{bronze}', n, n FROM dump
+    UNION ALL SELECT 'bronze/api', '{bronze}', n, n FROM lines
     UNION ALL SELECT 'silver/web', 'OK', n, (SELECT count(*) FROM web) FROM lines
     UNION ALL SELECT 'silver/csv', 'OK', n, (SELECT count(*) FROM latest) FROM dump
     UNION ALL SELECT 'silver/api', 'OK', n, (SELECT count(*) FROM api) FROM lines
@@ -858,27 +985,40 @@ def table_quality(spark, folder):
     UNION ALL SELECT 'gold/books_by_year', 'OK', count(*), count(DISTINCT year) FROM latest
     UNION ALL SELECT 'gold/price_stats_by_rating', 'OK', count(*), count(DISTINCT rating) FROM web
     UNION ALL SELECT 'gold/top_subjects', 'OK', count(*), count(DISTINCT subject) FROM api
-""")
-def medallion_status(spark, folder):
-    """Everything at once: raw files to Bronze, Silver and Gold tables, with row counts."""
-    root = shared_folder(spark, "medallion")
+"""
+
+
+def _raw_files(spark, folder, label):
+    """Raw pages, dump and responses made of the test tables, and the folder they are in."""
+    root = shared_folder(spark, label)
     documents, orders = documents_of(spark, folder), table(spark, folder, "orders")
     inputs = Inputs(f"{root}/raw/pages", f"{root}/raw/csv", f"{root}/raw/responses")
     overwrite_table(pages_of_documents(documents), inputs.pages)
     _write_csv(book_dump(orders).drop("o_orderdate"), inputs.landing_csv)
     overwrite_table(responses_of_documents(documents), inputs.responses)
+    return inputs, root
+
+
+@query(_status_sql("OK"))
+def medallion_status(spark, folder):
+    """Everything at once: raw files to Bronze, Silver and Gold tables, with row counts."""
+    inputs, root = _raw_files(spark, folder, "medallion")
     status = run_all(spark, inputs, Layers.under(root), BATCH_TS, parallel=True)
     return status.select("step", "status", "rows_in", "rows_out")
 
 
+@query(_status_sql("KEPT"))
+def resumed_status(spark, folder):
+    """A run that ended after Bronze, and goes on."""
+    inputs, root = _raw_files(spark, folder, "resumed")
+    run_bronze(spark, inputs, Layers.under(root), BATCH_TS)
+    status = run_all(spark, inputs, Layers.under(root), BATCH_TS, parallel=True, resume=True)
+    return status.select("step", "status", "rows_in", "rows_out")
+
+
 def _run_over(spark, folder, bronze_csv_format=None):
     """Layers that a whole run over the test tables has written."""
-    root = shared_folder(spark, "written")
-    documents, orders = documents_of(spark, folder), table(spark, folder, "orders")
-    inputs = Inputs(f"{root}/raw/pages", f"{root}/raw/csv", f"{root}/raw/responses")
-    overwrite_table(pages_of_documents(documents), inputs.pages)
-    _write_csv(book_dump(orders).drop("o_orderdate"), inputs.landing_csv)
-    overwrite_table(responses_of_documents(documents), inputs.responses)
+    inputs, root = _raw_files(spark, folder, "written")
     run_all(spark, inputs, Layers.under(root), BATCH_TS, formats={"csv": bronze_csv_format})
     return Layers.under(root)
 
@@ -938,6 +1078,29 @@ def written_silver_works(spark, folder):
     return _stamped(read_silver(spark, _run_over(spark, folder), "api"))
 
 
+@query(f"""
+    SELECT isbn, trim(title) AS title, trim(author) AS author, year, publisher,
+           strftime(o_orderdate, '%Y%m%d_%H%M%S') AS extracted_at
+    FROM ({_DUMP_SQL}) WHERE year BETWEEN 1800 AND 2024
+    QUALIFY row_number() OVER (
+        PARTITION BY isbn
+        ORDER BY o_orderdate DESC, title DESC, author DESC, year DESC, publisher DESC) = 1
+""")
+def silver_merged(spark, folder):
+    """Silver after three batches, each merged into the buckets of the one before."""
+    layers = Layers.under(shared_folder(spark, "merged"))
+    dump = bronze_csv(table(spark, folder, "orders"))
+    for number in range(3):
+        rows = dump.filter(F.pmod(F.xxhash64("Book-Title"), F.lit(3)) == number)
+        batch_ts = BATCH_TS.replace(day=number + 1)
+        write_batch(rows, layers, "csv", batch_ts, "parquet")
+        run_silver(spark, layers, ["csv"], batch_ts, buckets=8, formats={"csv": "parquet"})
+    silver = read_silver(spark, layers, "csv")
+    return silver.select(
+        "isbn", "title", "author", "year", "publisher", batch_stamp("extracted_at").alias("extracted_at")
+    )
+
+
 @query("""
     SELECT p_partkey, p_name, p_size FROM part ORDER BY p_size DESC, p_partkey LIMIT 1
 """)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import NA_TOKENS, null_if_in
 from ..schemas import LANDING_CSV_COLUMNS
-from .records import are_plain, assemble_records, number_lines
+from .records import assemble_records, lines_of, number_lines
 
 _MALFORMED = "_malformed"
 _QUOTED_FIELD = r'"[^"]*+(?:""[^"]*+)*+"'
@@ -70,18 +70,6 @@ def _as_paths(names):
     return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in names]
 
 
-def _lines(spark, path):
-    """Lines cut at line feeds only: a quoted CR LF stays whole."""
-    text = spark.read.options(recursiveFileLookup=True, lineSep="\n").text(path)
-    return text.select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        # Lines of a split are read in order by one task.
-        F.monotonically_increasing_id().alias("line"),
-    )
-
-
 def profile_landing(spark, path):
     """One row per file: its header, encoding, kind of lines, and the start of its last split.
 
@@ -91,7 +79,7 @@ def profile_landing(spark, path):
     first = F.when((F.col("block_start") == 0) & line.rlike(r"\S"), F.col("line"))
     returns = F.col("value").endswith("\r")
     return (
-        _lines(spark, path)
+        lines_of(spark, path)
         .groupBy("file_path")
         .agg(
             F.min_by(F.left("value", F.lit(HEADER_CHARS + 1)), first).alias("header"),
@@ -117,23 +105,11 @@ def _layouts(spark, path, large):
         if len(row["header"]) > HEADER_CHARS:
             raise ValueError(f"the first line of {row['file_path']} is too long for a header")
     mixed = {row["file_path"] for row in rows if row["any_returns"] and not row["all_returns"]}
-    plain = set()
-    for utf8 in (True, False):
-        spanning = [
-            row["file_path"]
-            for row in rows
-            if not row["one_line_records"]
-            and row["utf8"] == utf8
-            and (row["last_split"] >= large or row["file_path"] in mixed)
-        ]
-        if spanning:
-            found = are_plain(_numbered_lines(spark, spanning, utf8)).filter("plain")
-            plain.update(row["file_path"] for row in found.collect())
     files = {}
     for row in rows:
         name = row["file_path"]
         records = BY_LINE if row["one_line_records"] else BY_FILE
-        if name in plain:
+        if records == BY_FILE and (row["last_split"] >= large or name in mixed):
             records = BY_QUOTES
         line_end = None if name in mixed else "\r\n" if row["all_returns"] else "\n"
         fields = _FIELDS
@@ -145,13 +121,6 @@ def _layouts(spark, path, large):
     return files
 
 
-def _numbered_lines(spark, names, utf8):
-    lines = _lines(spark, _as_paths(names))
-    if not utf8:
-        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
-    return number_lines(lines)
-
-
 def read_landing_csv(
     spark,
     path,
@@ -166,8 +135,9 @@ def read_landing_csv(
     order their columns differently; a column a file lacks is NULL.
 
     Files are split among tasks, but one that quotes line breaks is a single task, up to
-    large_file_bytes. Beyond that it is split as well, unless it is irregularly quoted. Line breaks in
-    quotes stay as they are. Blank lines are skipped; the first other line of a file is its header,
+    large_file_bytes. Beyond that it is split as well, however it is quoted. Line breaks in
+    quotes stay as they are. In a split file a last field that goes on after its closing quote, and ends
+    in quotes, may have one more of them. Blank lines are skipped; the first other line of a file is its header,
     and a file without one has no records.
     """
     return drop_overlong(all_records(spark, path, columns, na_tokens, large_file_bytes))
@@ -219,7 +189,7 @@ def _parse_files(spark, layout, paths):
 
 
 def _join_by_quotes(spark, layout, paths):
-    lines = _lines(spark, paths)
+    lines = lines_of(spark, paths)
     if not layout.utf8:
         lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
     records = assemble_records(number_lines(lines)).filter(F.col("text").rlike(r"\S"))

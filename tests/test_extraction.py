@@ -1,10 +1,15 @@
 import html
 import json
+import random
+from html.entities import html5
+from html.parser import HTMLParser
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shelfmark.functions import dom as D
 from shelfmark.functions import html as H
 from shelfmark.sources.pages import all_cards, cards_from_pages
 from shelfmark.sources.responses import all_works, works_from_responses
@@ -87,6 +92,122 @@ def test_elements_left_open_or_nested(spark):
     assert read(found) == [(title, 51.77, "In stock") for title in titles]
 
 
+def nested(depth, inner):
+    return "<article class=note><p class=price_colors>no</p>" * depth + inner + "</article>" * depth
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 30])
+def test_articles_within_cards(spark, depth):
+    notes = nested(depth, "<p>new</p><i>x")
+    body = card("before").replace("<h3>", notes + "<h3>") + card("after").replace("</article>", notes + "</article>")
+    body += nested(depth, card("inside"))
+    found = all_cards(pages(spark, body))
+    assert read(found.select("title", "price_gbp", "availability", "valid")) == [
+        (title, 51.77, "In stock", True) for title in ("after", "before", "inside")
+    ]
+
+
+def test_cards_within_cards(spark):
+    inner = card("inner", price="£2")
+    outer = card("outer").replace("</article>", inner + "</article>")
+    found = cards_from_pages(pages(spark, outer + card("next", price="£3")))
+    assert read(found.select("title", "price_gbp")) == [("inner", 2.0), ("next", 3.0), ("outer", 51.77)]
+    # The first element that fits counts, wherever it lies in the card.
+    first = card("outer").replace("<h3>", inner + "<h3>")
+    found = cards_from_pages(pages(spark, first))
+    assert read(found.select("title", "price_gbp")) == [("inner", 2.0), ("inner", 2.0)]
+
+
+MARKUP = ["<p>", "</p>", "<p class=w>", "<div>", "</div>", "<br>", "<b>", "</b>", "<p class='w x'/>", "t", " u<v "]
+MARKUP += ["<!-- <p> -->", "<script>'</p>'</script>", "<img class=w>", "</br>", "<P CLASS=w>"]
+
+
+class Tree(HTMLParser):
+    """Elements by the open tags of a parser: (first token, text) of each wanted paragraph."""
+
+    EMPTY = {"br", "img"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.open, self.found = [], []
+
+    def handle_starttag(self, tag, attrs):
+        own = [tag, "w" in dict(attrs).get("class", "").split() and tag == "p", self.getpos(), []]
+        self.found += [own] if own[1] else []
+        if tag not in self.EMPTY:
+            self.open.append(own)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in self.EMPTY:
+            self.open.pop()
+
+    def handle_endtag(self, tag):
+        if any(own[0] == tag for own in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not self.open or self.open[-1][0] != "script":
+            for own in self.open:
+                own[3].append(data)
+
+
+def test_elements_equal_those_of_a_parser(spark):
+    rng = random.Random(5)
+    htmls = ["".join(rng.choice(MARKUP) for _ in range(rng.randrange(1, 25))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(htmls)), "n int, html string")
+    df = df.withColumn("pieces", D.tokens(F.col("html")))
+    df = df.withColumn("found", D.elements("pieces", [("p", "w")]))
+    own = F.transform("found", lambda e: F.struct(e["closed"], D.text(D.inner(F.col("pieces"), e)).alias("text")))
+    for row in df.withColumn("own", own).collect():
+        assert "".join(row.pieces) == row.html
+        tree = Tree()
+        tree.feed(row.html)
+        tree.close()
+        want = ["".join(own[3]) for own in tree.found]
+        assert len(row.found) == len(want), row.html
+        for k, (closed, text) in enumerate(row.own):
+            if closed:
+                assert text == want[k], row.html
+            else:  # ends with its parent, or where the next wanted one opens
+                assert want[k].startswith(text), row.html
+                assert text == want[k] or row.found[k + 1].first == row.found[k].last + 1
+
+
+def test_kinds_of_elements(spark):
+    html = "<h3 id=a>x</h3><p class='k l'>y<a href=q>z</a></p><h3>w</h3><p>"
+    df = spark.createDataFrame([(html,), (None,), ("",)], "html string")
+    df = df.select("html", D.tokens(F.col("html")).alias("p"))
+    df = df.withColumn("f", D.elements("p", [("h3", None), ("p", "l"), ("p", None)]))
+    rows = df.select(
+        F.transform("f", lambda e: F.struct(e["kind"], e["closed"])).alias("kinds"),
+        D.inner_html("html", "p", "k").alias("inner"),
+    ).collect()
+    kinds = [(0, True), (1, True), (0, True), (2, False)]
+    assert [tuple(kind) for kind in rows[0].kinds] == kinds and rows[0].inner == ["y<a href=q>z</a>"]
+    assert [tuple(row) for row in rows[1:]] == [([], None), ([], [])]
+
+
+def test_references_are_decoded_as_by_the_parser(spark):
+    names = sorted(html5)
+    texts = [f"&{name}" for name in names] + [f"a&{name.rstrip(';')}z; &{name}" for name in names]
+    texts += [f"&{name.rstrip(';')}" for name in names]
+    codes = [*range(0, 0x180), 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFDEF, 0xFFFE, 0xFFFF, 0x1F600, 0x10FFFF, 0x110000]
+    codes += [0x1FFFE, 10**9, 10**30]
+    texts += [f"x&#{n};y&#{n}z&#X{n:x};&#x000{n:X}g" for n in codes]
+    texts += [None, "", "&", "&&", "&;", "&#", "&#;", "&#x;", "&#xg", "& amp;", "&amp", "&ampamp;", "&no such;"]
+    texts += ["&" + "a" * 40 + ";", "&é;", "a&b<c&lt;d", "&#38;#38;", "&amp;lt;", "&notit;", "&notin;"]
+    df = spark.createDataFrame([(text,) for text in texts], "text string")
+    for row in df.select("text", H.unescape("text").alias("got")).collect():
+        assert row.got == (None if row.text is None else html.unescape(row.text)), row.text
+
+
+def test_no_python_in_the_plan_of_cards(spark):
+    plan = cards_from_pages(pages(spark, card()))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+
+
 def test_only_the_first_heading_names_the_book(spark):
     body = card().replace("<h3>", "<h3>no link here</h3><h3>")
     assert all_cards(pages(spark, body)).select("valid").collect()[0][0] is False

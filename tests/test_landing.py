@@ -3,6 +3,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.schemas import LANDING_CSV_COLUMNS
 from shelfmark.sources.landing import (
@@ -13,6 +14,7 @@ from shelfmark.sources.landing import (
     profile_landing,
     read_landing_csv,
 )
+from shelfmark.sources.records import assemble_records, lines_of, number_lines
 
 HEADER = ",".join(LANDING_CSV_COLUMNS) + "\n"
 
@@ -178,17 +180,78 @@ def test_overlong_records_that_cross_splits(spark, folder, small_splits):
     assert all_records(spark, folder, large_file_bytes=1).filter("overlong").count() == 20
 
 
-def test_irregular_quotes_are_left_to_one_task(spark, folder, small_splits):
+def test_irregular_quotes_in_splits(spark, folder, small_splits):
     os.makedirs(folder, exist_ok=True)
     lines = [f'{n},5" disk,"two\nlines",2000,P,s,m,{"x" * 100}\n' for n in range(100)]
     with open(f"{folder}/a.csv", "w") as file:
         file.write(HEADER + "".join(lines))
-    assert [layout.records for layout in _layouts(spark, folder, large=1)] == [BY_FILE]
+    assert [layout.records for layout in _layouts(spark, folder, large=1 << 30)] == [BY_FILE]
+    assert [layout.records for layout in _layouts(spark, folder, large=1)] == [BY_QUOTES]
     found = read_landing_csv(spark, folder, large_file_bytes=1).collect()
     assert len(found) == 100
     assert {(row["Book-Title"], row["Book-Author"]) for row in found} == {('5" disk', "two\nlines")}
 
 
+def plain_records(text):
+    """Records of a CSV text, read character by character as the parser does."""
+    records, at, state = [""], 0, "start"
+    for c in text:
+        if c == "\n" and state != "quoted":
+            records.append("")
+            state = "start"
+            continue
+        records[-1] += c
+        if state == "quoted":
+            state = "closed" if c == '"' else "quoted"
+        elif state == "closed" and c == '"':
+            state = "quoted"
+        elif c == ",":
+            state = "start"
+        elif state == "start" and c == '"':
+            state = "quoted"
+        else:
+            state = "rest"
+    return [record for record in records if record.strip()]
+
+
+def irregular(rng, size):
+    parts = ['"', '"', ",", "\n", "a", " ", '""', '",', ',"', "xyz"]
+    return "".join(rng.choice(parts) for _ in range(size))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_records_of_irregular_files(spark, folder, small_splits, seed):
+    """Every line finds its record, wherever splits and quotes fall."""
+    os.makedirs(folder, exist_ok=True)
+    rng = random.Random(seed)
+    texts = ["\n".join(irregular(rng, 12) for _ in range(700)) for _ in range(3)]
+    for number, text in enumerate(texts):
+        with open(f"{folder}/{number}.csv", "w", newline="") as file:
+            file.write(text)
+    lines = lines_of(spark, folder)
+    assert lines.select("file_path", "block_start").distinct().count() > 6
+    found = {}
+    for row in assemble_records(number_lines(lines)).filter(F.col("text").rlike(r"\S")).collect():
+        found.setdefault(row.file_path[-5], []).append((row.record, row.text))
+    for number, text in enumerate(texts):
+        got = [own.removesuffix("\n") for _, own in sorted(found[str(number)])]
+        assert got == plain_records(text), number
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_irregular_files_have_the_same_rows_at_any_size(spark, land, folder, small_splits, seed):
+    rng = random.Random(100 + seed)
+    body = "".join(f"{n},{irregular(rng, 6)}\n" for n in range(400))
+    land("a.csv", body.removesuffix("\n" * (seed % 2)), header="a,b,c,d\n")
+    land("b.csv", '1,"x\ny"\n2,"never closed\n3,4' + "\n" * (seed % 3), header="a,b,c,d\n")
+    small = all_records(spark, folder, list("abcd"), na_tokens=[])
+    split = all_records(spark, folder, list("abcd"), na_tokens=[], large_file_bytes=0)
+    # At the end of a record the parser may drop one of the quotes after a closing quote.
+    values = [F.regexp_replace(name, '"+\\z', "").alias(name) for name in "abcd"]
+    small, split = (sorted(map(str, df.select(*values).collect())) for df in (small, split))
+    assert small == split and len(small) > 50
+
+
 SPANNING = {
     "crlf": '1,"x\r\ny",A,2002,P,s,m,l\r\n  \r\n2,"a\nb",A,2002,P,s,m,l\r\n',
     "mixed": '1,"x\r\ny",A,2002,P,s,m,l\n2,"a\nb",A,2002,P,s,m,l\r\n3,c,A,2002,P,s,m,l\n',
@@ -210,10 +273,11 @@ def test_a_file_has_the_same_rows_at_any_size(spark, land, folder, name, encodin
 
 
 def test_a_stray_quote_makes_no_long_group(spark, land, folder):
-    """Lines are judged before any are joined."""
+    """A quote within a field opens nothing."""
     land("a.csv", '1,5" disk,A,2002,P,s,m,l\n' + "2,b,A,2002,P,s,m,l\n" * 500 + '3,"x\ny",A,2,P,s,m,l\n')
-    layouts = _layouts(spark, folder, 0)
-    assert [layout.records for layout in layouts] == [BY_FILE]
+    records = assemble_records(number_lines(lines_of(spark, folder)))
+    assert records.agg(F.max(F.length("text"))).first()[0] == len(HEADER) - 1
+    assert records.count() == 503
     assert read_landing_csv(spark, folder, large_file_bytes=0).count() == 502
 
 
