@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .vocabulary import NEVER, read_model, shared_vocabulary
+from .words import with_results
 
 _SHORT = 48
 _CACHED_WORDS = 200_000
@@ -231,9 +232,14 @@ def decode(docs, path, ids="ids", text="text"):
 def encode_summary(docs, path, text="text"):
     """`docs` with `n_tokens`, and the SHA-256 of the ids and of the text decoded from them.
 
-    Does both ways in one pass, so that ids are not kept.
+    Does both ways in one pass, so that ids are not kept. A null text counts as empty. Every row is kept;
+    columns with the three names are replaced. A text of any length is encoded whole, word by word.
     """
     model = docs.sparkSession.sparkContext.broadcast(read_model(path))
-    out = docs.withColumn("_encoded", _encode_udf(model, True)(F.col(text)))
-    names = ("n_tokens", "ids_sha256", "decoded_sha256")
-    return out.withColumns({name: F.col("_encoded")[name] for name in names}).drop("_encoded")
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def encoded(held):
+        found = held.select("row", _encode_udf(model, True)(F.col("text")).alias("found"))
+        return found.select("row", "found.*")
+
+    return with_results(docs, {"text": F.col(text)}, names, encoded)

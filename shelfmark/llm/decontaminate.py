@@ -11,7 +11,7 @@ All of it is built-in expressions and joins.
 from pyspark.sql import functions as F
 
 from .scratch import stored
-from .words import bound
+from .words import bound, with_results
 
 RADIUS = 18
 _BITS = 64
@@ -223,19 +223,24 @@ def _shingles_by_place(words, size):
 def mark(docs, items, text="text", **options):
     """`docs` with `item_ids` (sorted, empty if none), `n_items` and `contaminated`.
 
-    Every row is kept; columns with the three names are replaced. Options as for `find_items`.
+    Every row is kept, equal ones too; columns with the three names are replaced. A null or empty text
+    holds nothing, and so do all if there are no items. Texts are searched whole, however long. Of items
+    with equal texts each is named. Options as for `find_items`.
     """
-    docs = docs.drop("item_ids", "n_items", "contaminated")
     found = (
         find_items(docs, items, text=text, **options)
         .groupBy(F.col("text_key").alias("_key"))
         .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     )
-    out = docs.withColumn("_key", _key(text)).join(found, "_key", "left").drop("_key")
     kind = found.schema["item_ids"].dataType
-    out = out.withColumn("item_ids", F.coalesce("item_ids", F.array().cast(kind)))
-    out = out.withColumn("n_items", F.size("item_ids").cast("bigint"))
-    return out.withColumn("contaminated", F.col("n_items") > 0)
+
+    def marked(held):
+        held = held.join(found, "_key", "left")
+        held = held.withColumn("item_ids", F.coalesce("item_ids", F.array().cast(kind)))
+        held = held.withColumn("n_items", F.size("item_ids").cast("bigint"))
+        return held.withColumn("contaminated", F.col("n_items") > 0)
+
+    return with_results(docs, {"_key": _key(text)}, ["item_ids", "n_items", "contaminated"], marked)
 
 
 def keep_clean(docs, items, text="text", **options):

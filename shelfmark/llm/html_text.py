@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .scratch import stored
 from .url_rules import split_url
+from .words import with_results
 
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5  # pages of a host that must share a path before it is judged
@@ -294,14 +295,17 @@ def extract_text(pages, url="url", page="html"):
     )
     low = stored(low, "style-low")
     host, digest = _page_key(url, page)
-    joined = pages.withColumns({"_own": host, "_page": digest})
-    same = (F.col("_own") == F.col("_host")) & (F.col("_page") == F.col("_digest"))
-    joined = joined.join(low, same, "left").drop("_host", "_own", "_digest", "_page")
 
     @F.arrow_udf("string")
     def extracted(texts: pa.Array, lows: pa.Array) -> pa.Array:
         rows = zip(texts, lows, strict=True)
         return pa.array([main_text(a.as_py(), b.as_py()) for a, b in rows], pa.string())
 
-    out = joined.withColumn("text", extracted(F.col(page), F.col("_low"))).drop("_low")
-    return out.withColumn("n_chars", F.length("text").cast("bigint"))
+    def of_pages(held):
+        same = (F.col("own") == F.col("_host")) & (F.col("page") == F.col("_digest"))
+        held = held.join(low, same, "left")
+        held = held.select("row", extracted(F.col("html"), F.col("_low")).alias("text"))
+        return held.withColumn("n_chars", F.length("text").cast("bigint"))
+
+    needed = {"own": host, "page": digest, "html": F.col(page)}
+    return with_results(pages, needed, ["text", "n_chars"], of_pages)

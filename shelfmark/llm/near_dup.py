@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from .bpe import slices
 from .graph import components
 from .scratch import stored
+from .words import with_results
 
 BANDS = 32
 ROWS = 4  # coordinates of a band
@@ -345,9 +346,9 @@ def near_duplicates(docs, id="doc_id", text="text", size=4, percent=80):
     Rows with equal words are one node. Rows without an id take the component of their node, or
     null if none of it has an id; those are kept. Rows with equal ids and different texts are
     linked only by their texts. Every row is returned; columns with the three names are replaced.
+    An empty table has no rows. Texts are compared whole, however long.
     A link is missed if no band agrees: for 80 percent with a chance of 5 in 10^8.
     """
-    docs = docs.drop("n_shingles", "component_id", "kept")
     classes = _classes(docs, id, text, size)
     roots = _roots(docs, text, classes, size, percent)
     placed = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -355,22 +356,21 @@ def near_duplicates(docs, id="doc_id", text="text", size=4, percent=80):
     found = placed.join(least, "root").select(
         F.col("digest").alias("_digest"), "n_shingles", "component_id"
     )
-    return (
-        docs.withColumn("_digest", _digest_udf(F.col(text)))
-        .join(found, "_digest", "left")
-        .withColumns(
+
+    def placed_rows(held):
+        held = held.withColumn("_digest", _digest_udf(F.col("text"))).drop("text")
+        alone = F.col("n_shingles").isNull()
+        held = held.join(found, "_digest", "left").withColumns(
             {
-                "component_id": F.when(F.col("n_shingles").isNull(), F.col(id)).otherwise(
-                    F.col("component_id")
-                ),
+                "component_id": F.when(alone, F.col("id")).otherwise(F.col("component_id")),
                 "n_shingles": F.coalesce("n_shingles", F.lit(0)),
             }
         )
-        .withColumn(
-            "kept", F.col("component_id").isNull() | F.col(id).eqNullSafe(F.col("component_id"))
-        )
-        .drop("_digest")
-    )
+        own = F.col("id").eqNullSafe(F.col("component_id"))
+        return held.withColumn("kept", F.col("component_id").isNull() | own)
+
+    needed = {"id": F.col(id), "text": F.col(text)}
+    return with_results(docs, needed, ["n_shingles", "component_id", "kept"], placed_rows)
 
 
 def keep_one(docs, id="doc_id", text="text", size=5, percent=80):

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from .words import BLANKS, bound, words_of
+from .words import BLANKS, bound, with_results, words_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -41,6 +41,9 @@ class Rule:
         return wrong
 
 
+COUNTS = (
+    "n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words n_stop_words"
+).split()
 BASE = (
     Rule("few_words", "n_words", "one", at_least=5000),
     Rule("repeated_words", "n_repeat_words", "n_words", at_most=50),
@@ -93,8 +96,15 @@ def measure(docs, text="text"):
     `n_words`, `word_chars` (code points in words), `n_symbols`, `n_lines` (lines with a word),
     `n_dup_lines` (those equal to an earlier line), `n_repeat_words` (words in windows of three
     words found twice or more, the first included), `n_stop_words`, and `one`. A null text counts
-    as empty: all counts are 0. Columns with these names are replaced.
+    as empty: all counts are 0. Every row is kept, equal ones too, and texts are counted whole. Columns
+    with these names are replaced.
     """
+    return with_results(docs, {"text": F.col(text)}, [*COUNTS, "one"], _counted)
+
+
+def _counted(docs):
+    """Rows (row, text) with the counts of each text."""
+    text = "text"
     plain = F.coalesce(F.col(text), F.lit(""))
     spelled = {form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())}
     docs = docs.withColumns({"_words": words_of(text), "_solid": _without(plain, BLANKS)})
@@ -126,9 +136,7 @@ def measure(docs, text="text"):
         "n_stop_words": F.size(F.filter("_words", lambda w: w.isin(*sorted(spelled)))),
         "one": F.lit(1),
     }
-    return docs.withColumns({name: n.cast("bigint") for name, n in counts.items()}).drop(
-        "_words", "_solid", "_lines", "_grams"
-    )
+    return docs.withColumns({name: n.cast("bigint") for name, n in counts.items()})
 
 
 def judge(docs, text="text", base=BASE, rules=RULES):

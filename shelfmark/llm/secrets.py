@@ -11,7 +11,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from .words import bound, words_of
+from .words import bound, with_results, words_of
 
 MARK = "[SECRET]"
 TREES = 20
@@ -20,7 +20,8 @@ SEED = 7
 #: At most so many labelled findings are fitted, those with the smallest hash of their text.
 MAX_FINDINGS = 100_000
 
-_RUN = r"(?=[A-Za-z_+/\-]*[0-9])[A-Za-z0-9_+/\-]{12,}={0,2}"
+# Looked for where a run begins only, so that a very long one without a digit is read once.
+_RUN = r"(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*+[0-9])[A-Za-z0-9_+/\-]{12,}+={0,2}"
 _NAMED = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api_?key)[\"']?[:=][\"']?([^\s\"',;]{6,})"
 # A value in the word after its name: the ends of the words before it, and the value.
 _NAME_ENDS = r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api_?key)[\"'`]?"
@@ -262,11 +263,22 @@ def scan(docs, score, text="text", threshold=0.5):
 
     `findings` are all distinct candidates, `secrets` those whose score reaches `threshold`, and
     `redacted` is the text in which each secret, wherever it stands, is replaced by `[SECRET]`. A
-    null or empty text has no findings and is returned as it is. Every row is kept; columns with the
-    three names are replaced. One projection: nothing is shuffled, whatever is frequent.
+    null or empty text has no findings and is returned as it is. Every row is kept, equal ones too, and
+    an empty table stays empty; columns with the three names are replaced. Texts are scanned whole. Of
+    secrets of one length the larger is replaced first. One projection: nothing is shuffled, whatever is frequent.
     """
+    return with_results(
+        docs,
+        {"text": F.col(text)},
+        ["findings", "secrets", "redacted"],
+        lambda held: _scanned(held, score, threshold),
+    )
+
+
+def _scanned(docs, score, threshold):
+    """Rows (row, text) with what was found in them."""
     blank = F.lit("")
-    docs = docs.withColumn("_candidates", _candidates(text))
+    docs = docs.withColumn("_candidates", _candidates("text"))
     found = F.transform(
         "_candidates",
         lambda c: F.struct(
@@ -294,9 +306,9 @@ def scan(docs, score, text="text", threshold=0.5):
         F.sort_array(F.transform("secrets", lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))
     )
     clean = F.aggregate(
-        longest, F.col(text), lambda left, c: F.replace(left, c["v"], F.lit(MARK))
+        longest, F.col("text"), lambda left, c: F.replace(left, c["v"], F.lit(MARK))
     )
-    return docs.withColumn("redacted", clean).drop("_candidates", "_found")
+    return docs.withColumn("redacted", clean)
 
 
 def redact(docs, score, text="text", threshold=0.5):

@@ -80,9 +80,9 @@ def assign_shards(docs, keys, limit, text="text", size=None):
     if limit <= 0:
         raise ValueError("limit must be positive")
     own = F.octet_length(text) if size is None else size
-    plain = [c for c in docs.columns if c not in ("bytes", "shard", "oversized")]
+    plain = [c for c in docs.columns if c.lower() not in ("bytes", "shard", "oversized")]
     rows = docs.select(
-        *plain,
+        F.struct(*plain).alias("row"),
         F.coalesce(own, F.lit(0)).cast("bigint").alias("bytes"),
         F.xxhash64(*keys).alias("_key"),
         F.xxhash64(F.lit("row"), *plain).alias("_row"),
@@ -122,7 +122,7 @@ def assign_shards(docs, keys, limit, text="text", size=None):
         F.col("bytes").alias("_total"),
         F.col("rows").alias("_rows"),
     )
-    return _deal_copies(rows, found, limit).drop("_key", "_row", "_total", "_rows")
+    return _deal_copies(rows, found, limit).select("row.*", "bytes", "shard", "oversized")
 
 
 def _deal_copies(rows, found, limit):
@@ -157,6 +157,9 @@ def _deal_copies(rows, found, limit):
 
 
 def write_shards(docs, path, keys, limit, text="text"):
-    """Write `docs` as Parquet, one folder for each shard; one task writes a shard."""
+    """Write `docs` as Parquet, one folder for each shard; one task writes a shard.
+
+    Nulls, long texts, ties and copies as in `assign_shards`; an empty table writes no folder.
+    """
     assigned = assign_shards(docs, keys, limit, text)
     assigned.repartition("shard").write.partitionBy("shard").parquet(path)

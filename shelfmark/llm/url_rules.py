@@ -7,7 +7,7 @@ confirmed on the whole digest; of several rules the longest decides.
 
 from pyspark.sql import functions as F
 
-from .words import lower_ascii
+from .words import lower_ascii, with_results
 
 _SHORT = 8  # hexadecimal digits of the joined prefix: four bytes
 
@@ -70,7 +70,7 @@ def judge_urls(pages, rules, url="url", rule="rule", verdict="verdict", default=
 
     A rule fits its host and all subdomains if the path begins with the rule's. The longest rule, in
     characters of host and path, wins; of equal ones that with the longer host. Without a rule,
-    `rule` is null and `verdict` is `default`. A null or empty URL has an empty host and path, so
+    `rule` is null and `verdict` is `default`; so it is for all pages if there are no rules. A null or empty URL has an empty host and path, so
     that no rule fits. Every row is kept, equal ones too; columns with the four names are replaced.
 
     Only distinct host and path pairs are expanded, and only the lengths of paths that occur in
@@ -81,7 +81,16 @@ def judge_urls(pages, rules, url="url", rule="rule", verdict="verdict", default=
     found = compiled.agg(F.sort_array(F.collect_set("path_length"))).first()[0]
     lengths = F.array(*map(F.lit, found)).cast("array<int>")
     host, path = split_url(F.col(url))
-    parsed = pages.withColumns({"host": host, "path": path})
+    return with_results(
+        pages,
+        {"host": host, "path": path},
+        ["host", "path", "rule", "verdict"],
+        lambda held: _judged(held, compiled, lengths, default),
+    )
+
+
+def _judged(parsed, compiled, lengths, default):
+    """Rows (row, host, path) with the rule and verdict of each."""
     keys = parsed.select(F.col("host").alias("_host"), F.col("path").alias("_path")).distinct()
     expressions = keys.withColumn(
         "_digest", F.explode(_digests(F.col("_host"), F.col("_path"), lengths))

@@ -22,6 +22,21 @@ def words_of(text):
     )
 
 
+def with_results(docs, needed, new, use):
+    """`docs` with the columns `new` of `use(held)`, whatever other columns `docs` has.
+
+    `held` has each row as one struct, `row`, and the columns `needed` (name to column) that `use` works
+    with, so that no name of its own can clash with one of the table. Columns of `docs` named as one of
+    `new`, in any case, are replaced.
+    """
+    held = docs.select(
+        F.struct("*").alias("row"), *[column.alias(name) for name, column in needed.items()]
+    )
+    replaced = {name.lower() for name in new}
+    kept = [name for name in docs.columns if name.lower() not in replaced]
+    return use(held).select(*[F.col("row")[name].alias(name) for name in kept], *new)
+
+
 def bound(value, use):
     """`use(value)` with `value` computed once, for columns that are read at many places."""
     return F.transform(F.array(value), use)[0]
