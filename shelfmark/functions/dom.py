@@ -25,6 +25,31 @@ _EMPTY = (
 ).split()
 _ALONE = rf"^<(?i:{'|'.join(_EMPTY)}){NAME_END}|/>$"
 
+_ONE_TAG = rf"^</?[a-zA-Z]{REST_OF_TAG}\z"
+_INERT_DEPTH = 3  # elements in elements that a coarse piece may hold; deeper ones are cut as ever
+
+
+def _coarse_token(tag):
+    """As _TOKEN, but texts, comments and whole elements in each other, none of them `tag`, are one piece.
+
+    An element that is closed by its own tag, with only such elements within, leaves open what was open
+    before it.
+    """
+    other = rf"(?!(?i:{tag}|script|style){NAME_END})"
+    # Those without content are whole by themselves, and a closing tag of theirs ends nothing.
+    alone = rf"{other}(?:(?i:{'|'.join(_EMPTY)}){NAME_END}{REST_OF_TAG}|[a-zA-Z]{REST_OF_TAG}(?<=/>))"
+    plain = rf"<(?:{COMMENT}|{CODE}|[!?][^>]*+>|{alone})"
+    within = rf"(?:[^<]++|{plain})"
+    for group in range(1, _INERT_DEPTH + 1):
+        name = f"n{group}"
+        whole = (
+            rf"<{other}(?<{name}>[a-zA-Z][^\s/>\"'<]*+)(?=[\s/>]){REST_OF_TAG}(?<!/>)"
+            rf"{within}*+</(?i:\k<{name}>)(?=[\s/>]){REST_OF_TAG}(?<!/>)"
+        )
+        within = rf"(?:[^<]++|{whole}|{plain})"
+    return rf"{within}++|</?[a-zA-Z]{REST_OF_TAG}|<"
+
+
 _NEAR = 8  # elements after another that are looked at first
 _OPEN = "array<struct<name: string, at: int, kind: int>>"
 _FOUND = "array<struct<first: int, last: int, kind: int, closed: boolean>>"
@@ -48,9 +73,12 @@ def elements(pieces, kinds):
 
 
 def inner_html(html, tag, css_class=None):
-    """The HTML within every such element of the named column, in document order; null for null."""
+    """The HTML within every such element of the named column, in document order; null for null.
+
+    Runs that cannot change what is open are pieces as a whole, so that few are walked through.
+    """
     return F.expr(f"""
-        transform(array(regexp_extract_all({html}, {sql_text(_TOKEN)}, 0)), pieces ->
+        transform(array(regexp_extract_all({html}, {sql_text(_coarse_token(tag))}, 0)), pieces ->
             transform({_elements("pieces", [(tag, css_class)])}, own -> array_join(slice(
                 pieces, own.first + 2,
                 greatest(own.last - own.first - cast(own.closed AS int), 0)), '')))[0]
@@ -79,7 +107,7 @@ def _marks(pieces, kinds):
         whens += f" WHEN name = {sql_text(tag)}{own} THEN {place}"
     return f"""
         filter(
-            transform({pieces}, (piece, at) -> CASE WHEN startswith(piece, '<') THEN
+            transform({pieces}, (piece, at) -> CASE WHEN startswith(piece, '<') AND rlike(piece, {sql_text(_ONE_TAG)}) THEN
                 transform(array(lower(regexp_extract(piece, {sql_text(_NAME)}, 1))), name ->
                     CASE WHEN name <> '' AND (name NOT IN ('script', 'style') OR startswith(piece, '</'))
                     THEN named_struct(

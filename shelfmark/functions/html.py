@@ -65,6 +65,34 @@ def attribute(tag, name):
     return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
+def card_fields():
+    """A pattern that finds the fields of a card together, in any order (groups `title`, `rating`,
+    `price`, `stock`), and then fits all of the card; else it fits nothing.
+
+    Each is what `attribute` or `element` finds alone. It does not fit if one is missing, if a value is
+    not in double quotes, or if the price holds a tag or the stock a paragraph.
+    """
+
+    def up_to(wanted, end=None):
+        ends = "" if end is None else rf"|/(?i:{end}){NAME_END}"
+        return rf"[^<]*+(?:<(?!{wanted[1:]}{ends})[^<]*+)*+(?={wanted})"
+
+    def value(name, group):
+        wanted = rf"\s(?i:{name})\s*=\s*"
+        return rf'<\w+(?>(?!{wanted})(?:[^>\"\']|{_QUOTED}))*+{wanted}"(?<{group}>[^"]*+)"'
+
+    heading, link = opening_pattern("h3", None), opening_pattern("a", None)
+    star, price, stock = (opening_pattern("p", name) for name in ("star-rating", "price_color", "instock"))
+    opened, closed = rf"<\w+{REST_OF_TAG}", r"</(?i:p)\s*>"
+    no_paragraph = rf"[^<]*+(?:<(?!/?(?i:p){NAME_END})[^<]*+)*+"
+    return (
+        rf"^(?={up_to(heading)}{heading}{up_to(link, 'h3')}{value('title', 'title')})"
+        rf"(?={up_to(star)}{value('class', 'rating')})"
+        rf"(?={up_to(price)}{opened}(?<price>[^<]*+){closed})"
+        rf"(?={up_to(stock)}(?<stock>{opened}{no_paragraph}{closed}))(?s:.*)\z"
+    )
+
+
 def text(html):
     """Text without tags, entities not yet decoded."""
     return F.regexp_replace(html, f"</?[a-zA-Z]{REST_OF_TAG}", "")

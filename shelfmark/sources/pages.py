@@ -62,7 +62,8 @@ def page_range(pages, max_pages, url="url"):
 
 _CARD = ("article", "product_pod")
 # An article that opens before another is closed. Of a page without one, patterns tell the cards.
-_NESTED = r"(?i)<article(?![\w:-])[^<]*+(?:<(?!/?article(?![\w:-]))[^<]*+)*+<article(?![\w:-])"
+_ARTICLE = r"(?i:article)(?![\w:-])"
+_NESTED = rf"<{_ARTICLE}[^<]*+(?:<(?!/?{_ARTICLE})[^<]*+)*+<{_ARTICLE}"
 
 
 def all_cards(pages, html="html", max_pages=None):
@@ -80,7 +81,9 @@ def all_cards(pages, html="html", max_pages=None):
     )
     # Without `outer` Spark would add a filter to the scan that finds all cards for itself.
     cards = cards.select(F.explode_outer("cards").alias("card"))
-    raw = cards.filter(F.col("card").isNotNull()).select(*_raw_fields(F.col("card")))
+    found = F.split(F.regexp_replace("card", H.card_fields(), _FIELDS), _MARK, 5)
+    marked = cards.filter(F.col("card").isNotNull()).select("card", found.alias("found"))
+    raw = marked.select(*_raw_fields(F.col("card"), F.col("found")))
     stock = F.when(F.col("stock_element") != "", H.text(F.col("stock_element")))
     raw = raw.withColumn("raw_stock", stock)
     decoded = raw.select(
@@ -110,11 +113,22 @@ def cards_from_pages(pages, html="html", max_pages=None):
     return all_cards(pages, html, max_pages).filter("valid").drop("valid")
 
 
-def _raw_fields(card):
+# The fields of a card that one pattern finds.
+_MARK = "\x01"
+_FIELDS = f"{_MARK}${{rating}}{_MARK}${{price}}{_MARK}${{stock}}{_MARK}${{title}}"
+
+
+def _raw_fields(card, found):
+    """From `found` where one pattern fits the card, else by a pattern for each field."""
+    fits = (F.size(found) == 5) & ~card.contains(_MARK)
     link, stars = H.opening_tag(card, "a", within="h3"), H.opening_tag(card, "p", "star-rating")
+    fields = {
+        "raw_title": (4, H.attribute(link, "title")),
+        "raw_price": (2, H.text(H.element(card, "p", "price_color"))),
+        "stock_element": (3, H.element(card, "p", "instock")),
+        "rating_classes": (1, H.attribute(stars, "class")),
+    }
     return [
-        H.attribute(link, "title").alias("raw_title"),
-        H.text(H.element(card, "p", "price_color")).alias("raw_price"),
-        H.element(card, "p", "instock").alias("stock_element"),
-        H.attribute(stars, "class").alias("rating_classes"),
+        F.when(fits, F.get(found, F.lit(at))).otherwise(by_pattern).alias(name)
+        for name, (at, by_pattern) in fields.items()
     ]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import dom as D
 from shelfmark.functions import html as H
+from shelfmark.sources import pages as P
 from shelfmark.sources.pages import all_cards, cards_from_pages
 from shelfmark.sources.responses import all_works, works_from_responses
 
@@ -189,6 +190,44 @@ def test_kinds_of_elements(spark):
     assert [tuple(row) for row in rows[1:]] == [([], None), ([], [])]
 
 
+def test_coarse_pieces_leave_what_is_within(spark):
+    rng = random.Random(6)
+    more = ["<h3>", "</h3>", "<img src=a>", "<b/>", "<!-- <p> -->", "<P class='w'>", "</B>", "<i>x</i>", "</br>", "<"]
+    htmls = ["".join(rng.choice([*MARKUP, *more]) for _ in range(rng.randrange(1, 30))) for _ in range(500)]
+    htmls.append("<p class=w><li><h3><a title='<p class=w>'>x</a></h3><i></i>y<br></li></p>")
+    df = spark.createDataFrame([(own,) for own in htmls], "html string")
+    df = df.withColumn("pieces", D.tokens(F.col("html"))).withColumn("found", D.elements("pieces", [("p", "w")]))
+    fine = F.transform("found", lambda e: F.array_join(D.inner(F.col("pieces"), e), ""))
+    coarse = F.regexp_extract_all("html", F.lit(D._coarse_token("p")), F.lit(0))
+    rows = df.select("html", "pieces", fine.alias("fine"), D.inner_html("html", "p", "w").alias("own"), coarse.alias("coarse")).collect()
+    for row in rows:
+        assert row.own == row.fine, row.html
+        assert "".join(row.coarse) == row.html
+    assert len(rows[-1].coarse) == 3 < len(rows[-1].pieces)
+
+
+def test_fields_found_together_equal_those_found_one_by_one(spark):
+    rng = random.Random(7)
+    parts = [
+        "<h3>", "</h3>", '<a title="t 1">', "<a title='t2'>", '<a href="x" Title = "<p class=instock>">', "<a>", "</a>",
+        '<p class="star-rating One">', "<p class='star-rating Two'>", '<p class="star-rating price_color">', "</p>",
+        '<p class="price_color">£1.25</p>', '<p class="price_color"><b>2</b></p>', '<p class="x instock">', "In <i></i>",
+        '<P CLASS="instock">In\n</P >', '<p class="price_color">', "x", "\x01", '"', "<", "<i/>",
+    ]
+    whole = ['<h3><a title="q">', '<p class="star-rating One">', '<p class="price_color">£1</p>', '<p class="instock">In</p>']
+    cards = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 16))) for _ in range(800)]
+    cards += ["".join(rng.sample([*whole, *rng.choices(parts, k=3)], 7)) for _ in range(800)]
+    cards += ["".join(rng.sample(whole, 4)) for _ in range(9)]
+    df = spark.createDataFrame([(own,) for own in cards], "card string")
+    found = F.split(F.regexp_replace("card", H.card_fields(), P._FIELDS), P._MARK, 5)
+    together = P._raw_fields(F.col("card"), found)
+    alone = P._raw_fields(F.col("card"), F.array().cast("array<string>"))
+    rows = df.select("card", F.size(found).alias("n"), F.struct(*together).alias("a"), F.struct(*alone).alias("b")).collect()
+    for row in rows:
+        assert row.a == row.b, row.card
+    assert all(row.n == 5 for row in rows[-9:])  # in any order
+
+
 def test_references_are_decoded_as_by_the_parser(spark):
     names = sorted(html5)
     texts = [f"&{name}" for name in names] + [f"a&{name.rstrip(';')}z; &{name}" for name in names]
