@@ -464,9 +464,10 @@ def _nested_card(line):
 
 def _card_html(line):
     size = F.length(line)
-    title = line
+    escaped = line
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
-        title = F.replace(title, F.lit(char), F.lit(entity))
+        escaped = F.replace(escaped, F.lit(char), F.lit(entity))
+    title = F.when(line.rlike('[&<>"]'), escaped).otherwise(line)
     word = F.element_at(F.array(*[F.lit(w) for w in _WORDS]), (size % 6 + 1).cast("int"))
     stock = F.when(size % 2 == 0, "In stock").otherwise("Out of stock")
     return F.concat(
@@ -992,6 +993,8 @@ def _raw_files(spark, folder, label):
     """Raw pages, dump and responses made of the test tables, and the folder they are in."""
     root = shared_folder(spark, label)
     documents, orders = documents_of(spark, folder), table(spark, folder, "orders")
+    # A CSV file is one task to whoever reads it, so that a table in one file would be one task throughout.
+    orders = orders.repartition(raw_partitions(spark))
     inputs = Inputs(f"{root}/raw/pages", f"{root}/raw/csv", f"{root}/raw/responses")
     overwrite_table(pages_of_documents(documents), inputs.pages)
     _write_csv(book_dump(orders).drop("o_orderdate"), inputs.landing_csv)

@@ -10,8 +10,11 @@ from ..operators.quality import quality_report, violations
 from ..sources.layers import batch_format, read_batch
 from .switch import Store, settle, staging_folder, switch
 
-# Keeps a CSV file, which may not be split, within the size of one task.
+# Keep a CSV file, which may not be split, and a packed JSON file within the size of one task.
 CSV_ROWS_PER_FILE = 500_000
+JSON_ROWS_PER_FILE = 500_000
+# Of tables, whose rows are written more often than they are read.
+_TABLE_CODEC = "zstd"
 
 _WRITE_OPTIONS = {
     "csv": {
@@ -21,7 +24,11 @@ _WRITE_OPTIONS = {
         "ignoreTrailingWhiteSpace": False,
         "maxRecordsPerFile": CSV_ROWS_PER_FILE,
     },
-    "json": {"ignoreNullFields": False},
+    "json": {
+        "ignoreNullFields": False,
+        "compression": "gzip",
+        "maxRecordsPerFile": JSON_ROWS_PER_FILE,
+    },
     "parquet": {},
 }
 _ROWS = "_rows"  # readers skip files with such a name
@@ -85,10 +92,10 @@ def overwrite_table(df, path):
     spark = df.sparkSession
     settle(spark, path)
     if not Store(spark, path).exists(path):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=_TABLE_CODEC)
         return path
     staged = staging_folder(path)
-    _write_or_clear(spark, staged, lambda: df.write.parquet(staged))
+    _write_or_clear(spark, staged, lambda: df.write.parquet(staged, compression=_TABLE_CODEC))
     switch(spark, staged, path)
     return path
 

@@ -9,8 +9,10 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import queries
 from shelfmark import schemas as S
 from shelfmark.__main__ import main
+from shelfmark.operators.rows import add_lineage, moment
 from shelfmark.plans.gold import (
     GOLD_JOBS,
     gold_by_year,
@@ -469,3 +471,28 @@ def test_only_a_local_session_falls_back_to_a_local_folder():
     assert os.path.isabs(shared_folder(Session("local[2]"), "x"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session("spark://host"), "x")
+
+
+def test_batches_of_json_and_tables_are_packed(spark, tmp_path):
+    layers = Layers.under(str(tmp_path))
+    df = spark.range(2000).selectExpr("cast(id as string) title", "1.0D price_gbp", "1 rating", "'In stock' availability")
+    df = add_lineage(df, "x", moment(queries.BATCH_TS))
+    path = write_batch(df, layers, "web", queries.BATCH_TS)
+    names = [name for name in os.listdir(path) if name.startswith("part-")]
+    assert names and all(name.endswith(".json.gz") for name in names)
+    assert read_bronze(spark, layers, "web").count() == 2000
+    overwrite_table(df, f"{tmp_path}/table")
+    assert all(".zstd." in name for name in os.listdir(f"{tmp_path}/table") if name.startswith("part-"))
+
+
+def test_a_dump_from_one_file_is_dealt_to_all_tasks(spark, tmp_path, monkeypatch):
+    spark.range(4000).selectExpr(
+        "id o_orderkey", "id o_custkey", "'F' o_orderstatus", "'1-URGENT' o_orderpriority",
+        "timestamp_ntz'1996-01-01' o_orderdate",
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "a b", "en")], "doc_id bigint, text string, lang string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    monkeypatch.setattr(queries, "raw_partitions", lambda spark: 3)
+    inputs, _ = queries._raw_files(spark, str(tmp_path), "dealt")
+    assert len([name for name in os.listdir(inputs.landing_csv) if name.endswith(".csv")]) == 3
