@@ -93,20 +93,30 @@ class _Work:
     rows_in: int | None = None
 
 
-def run_bronze(spark, inputs, layers, batch_ts=None, raise_on_error=True, formats=None):
+def run_bronze(
+    spark,
+    inputs,
+    layers,
+    batch_ts=None,
+    raise_on_error=True,
+    formats=None,
+    packed=True,
+    parallel=False,
+):
     """Raw data of every given source -> one Bronze batch each.
 
-    `formats` names the file format of a source, where it is not the usual one. A run_all of the same
-    `batch_ts` can resume from here.
+    `formats` names the file format of a source, where it is not the usual one; `packed=False` leaves JSON
+    plain. `parallel` extracts the sources at the same time. A run_all of the same `batch_ts` can resume
+    from here.
     """
     batch_ts = batch_ts or datetime.now(timezone.utc)
     ledger = Ledger(spark, layers, batch_ts)
-    steps = [
-        _noted(
-            ledger, _bronze_step(spark, source, inputs, layers, batch_ts, (formats or {}).get(source))
-        )
-        for source in inputs.sources()
-    ]
+
+    def extracted(source):
+        fmt = (formats or {}).get(source)
+        return _noted(ledger, _bronze_step(spark, source, inputs, layers, batch_ts, fmt, packed))
+
+    steps = _each(spark, extracted, inputs.sources(), parallel)
     return _finish(spark, steps, raise_on_error)
 
 
@@ -160,6 +170,7 @@ def run_all(
     formats=None,
     buckets=None,
     resume=False,
+    packed=True,
 ):
     """Bronze then Silver for each source, then Gold.
 
@@ -167,7 +178,8 @@ def run_all(
     files have gone or a step before them runs again.
 
     `input_bytes`, of the raw data, sizes the shuffles of each layer. `formats` names the Bronze
-    format of a source, such as {"csv": "parquet"} for a run too large for files that one task reads.
+    format of a source, such as {"csv": "parquet"} for a run too large for files that one task reads;
+    `packed=False` leaves Bronze JSON plain.
     `buckets` makes Silver take in new batches only, as in run_silver.
 
     A Gold table is built when its own source succeeded. `parallel` runs the chains of the
@@ -182,7 +194,7 @@ def run_all(
         bronze = _kept_or(
             ledger,
             f"bronze/{source}",
-            lambda: _bronze_step(spark, source, inputs, layers, batch_ts, fmt),
+            lambda: _bronze_step(spark, source, inputs, layers, batch_ts, fmt, packed),
         )
         if bronze.status not in _DONE:
             return [bronze, Step(f"silver/{source}", "SKIPPED", error="no new Bronze batch")]
@@ -232,7 +244,7 @@ def _noted(ledger, step):
     return step
 
 
-def _bronze_step(spark, source, inputs, layers, batch_ts, fmt=None):
+def _bronze_step(spark, source, inputs, layers, batch_ts, fmt=None, packed=True):
     readers = {
         "web": lambda: all_cards(
             read_raw_pages(
@@ -264,7 +276,7 @@ def _bronze_step(spark, source, inputs, layers, batch_ts, fmt=None):
         _Work(
             readers[source],
             shape,
-            lambda df: write_batch(df, layers, source, batch_ts, fmt),
+            lambda df: write_batch(df, layers, source, batch_ts, fmt, packed),
             lambda path: read_batch(spark, path, source, fmt),
         ),
     )

@@ -408,8 +408,12 @@ def documents_of(spark, folder):
 
 def pages_of_documents(documents, card=None):
     """A catalogue page per document, with a product card per line; page numbers repeat."""
+    return documents.select(*_page_columns(card))
+
+
+def _page_columns(card=None):
     number = (F.col("doc_id") % 20).cast("string")
-    return documents.select(
+    return [
         F.concat(
             F.lit("http://shop.example.com/page-"), number, F.lit(".html?id="), "doc_id"
         ).alias("url"),
@@ -418,7 +422,7 @@ def pages_of_documents(documents, card=None):
             F.array_join(F.transform(F.split("text", "\n"), card or _card_html), "\n"),
             F.lit("</ol></body></html>"),
         ).alias("html"),
-    )
+    ]
 
 
 def pages_of_cards_in_cards(documents):
@@ -485,6 +489,10 @@ def _card_html(line):
 
 def responses_of_documents(documents):
     """A response per document that lists a work per line; zero editions are left out."""
+    return documents.select(*_response_columns())
+
+
+def _response_columns():
     works = F.transform(
         F.split("text", "\n"),
         lambda line: F.struct(
@@ -497,9 +505,7 @@ def responses_of_documents(documents):
             F.concat(F.lit("/works/"), F.split_part(line, F.lit(" "), F.lit(1))).alias("key"),
         ),
     )
-    return documents.select(
-        F.col("lang").alias("subject"), F.to_json(F.struct(works.alias("works"))).alias("body")
-    )
+    return [F.col("lang").alias("subject"), F.to_json(F.struct(works.alias("works"))).alias("body")]
 
 
 @query(f"SELECT title, price_gbp, rating, availability FROM ({_CARDS_SQL})")
@@ -990,15 +996,19 @@ def _status_sql(bronze):
 
 
 def _raw_files(spark, folder, label):
-    """Raw pages, dump and responses made of the test tables, and the folder they are in."""
+    """Raw pages, dump and responses made of the test tables, and the folder they are in.
+
+    A document's page and response lie in one row, so that the texts are dealt out and read once.
+    """
     root = shared_folder(spark, label)
     documents, orders = documents_of(spark, folder), table(spark, folder, "orders")
     # A CSV file is one task to whoever reads it, so that a table in one file would be one task throughout.
     orders = orders.repartition(raw_partitions(spark))
-    inputs = Inputs(f"{root}/raw/pages", f"{root}/raw/csv", f"{root}/raw/responses")
-    overwrite_table(pages_of_documents(documents), inputs.pages)
+    fetched = f"{root}/raw/fetched"
+    inputs = Inputs(fetched, f"{root}/raw/csv", fetched)
+    columns = [*_page_columns(), *_response_columns()]
+    overwrite_table(documents.select(*columns), fetched)
     _write_csv(book_dump(orders).drop("o_orderdate"), inputs.landing_csv)
-    overwrite_table(responses_of_documents(documents), inputs.responses)
     return inputs, root
 
 
@@ -1014,7 +1024,7 @@ def medallion_status(spark, folder):
 def resumed_status(spark, folder):
     """A run that ended after Bronze, and goes on."""
     inputs, root = _raw_files(spark, folder, "resumed")
-    run_bronze(spark, inputs, Layers.under(root), BATCH_TS)
+    run_bronze(spark, inputs, Layers.under(root), BATCH_TS, parallel=True)
     status = run_all(spark, inputs, Layers.under(root), BATCH_TS, parallel=True, resume=True)
     return status.select("step", "status", "rows_in", "rows_out")
 

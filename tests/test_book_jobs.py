@@ -489,3 +489,35 @@ def test_a_dump_from_one_file_is_dealt_to_all_tasks(spark, tmp_path, monkeypatch
     monkeypatch.setattr(queries, "raw_partitions", lambda spark: 3)
     inputs, _ = queries._raw_files(spark, str(tmp_path), "dealt")
     assert len([name for name in os.listdir(inputs.landing_csv) if name.endswith(".csv")]) == 3
+
+
+def test_a_run_packs_bronze_json(spark, folder, inputs):  # noqa: F811
+    for packed, end in ((True, ".json.gz"), (False, ".json")):
+        layers = Layers.under(f"{folder}/{packed}")
+        more = {} if packed else {"packed": False}
+        run_bronze(spark, inputs, layers, DAY1, parallel=packed, **more)
+        for source in ("web", "api"):
+            names = glob.glob(f"{layers.bronze_path(source)}/*/part-*")
+            assert names and all(name.endswith(end) for name in names)
+    for source in ("web", "csv", "api"):
+        rows = [read_bronze(spark, Layers.under(f"{folder}/{own}"), source).collect() for own in (True, False)]
+        assert rows[0] and sorted(rows[0], key=str) == sorted(rows[1], key=str)
+
+
+def test_texts_of_raw_files_are_dealt_out_once(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a b\nc", "en"), (2, None, "de"), (2, "", None)], "doc_id bigint, text string, lang string"
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(1).selectExpr(
+        "id o_orderkey", "id o_custkey", "'F' o_orderstatus", "'1-URGENT' o_orderpriority",
+        "timestamp_ntz'1996-01-01' o_orderdate",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    inputs, _ = queries._raw_files(spark, str(tmp_path), "once")
+    assert inputs.pages == inputs.responses
+    documents = queries.documents_of(spark, str(tmp_path))
+    for path, schema, made in (
+        (inputs.pages, S.RAW_PAGES, queries.pages_of_documents(documents)),
+        (inputs.responses, S.RAW_RESPONSES, queries.responses_of_documents(documents)),
+    ):
+        stored = spark.read.schema(schema).parquet(path).collect()
+        assert sorted(stored, key=str) == sorted(made.collect(), key=str)
