@@ -66,12 +66,18 @@ def attribute(tag, name):
 
 
 def card_fields():
-    """A pattern that finds the fields of a card together, in any order (groups `title`, `rating`,
-    `price`, `stock`), and then fits all of the card; else it fits nothing.
+    """A pattern that finds the fields of a card together, and then fits all of the card; else it fits
+    nothing. The groups are `title`, `rating`, `price` and `stock`, or, of a card in the usual order, those
+    names with a `1`; the other four are then empty.
 
     Each is what `attribute` or `element` finds alone. It does not fit if one is missing, if a value is
     not in double quotes, or if the price holds a tag or the stock a paragraph.
     """
+    return rf"^(?:{_fields_in_order()}|{_fields_anywhere()})(?s:.*)\z"
+
+
+def _fields_anywhere():
+    """The fields in any order: each is looked for from the beginning."""
 
     def up_to(wanted, end=None):
         ends = "" if end is None else rf"|/(?i:{end}){NAME_END}"
@@ -82,14 +88,50 @@ def card_fields():
         return rf'<\w+(?>(?!{wanted})(?:[^>\"\']|{_QUOTED}))*+{wanted}"(?<{group}>[^"]*+)"'
 
     heading, link = opening_pattern("h3", None), opening_pattern("a", None)
-    star, price, stock = (opening_pattern("p", name) for name in ("star-rating", "price_color", "instock"))
+    star, price, stock = (opening_pattern("p", name) for name in _PARAGRAPHS)
     opened, closed = rf"<\w+{REST_OF_TAG}", r"</(?i:p)\s*>"
     no_paragraph = rf"[^<]*+(?:<(?!/?(?i:p){NAME_END})[^<]*+)*+"
     return (
-        rf"^(?={up_to(heading)}{heading}{up_to(link, 'h3')}{value('title', 'title')})"
+        rf"(?={up_to(heading)}{heading}{up_to(link, 'h3')}{value('title', 'title')})"
         rf"(?={up_to(star)}{value('class', 'rating')})"
         rf"(?={up_to(price)}{opened}(?<price>[^<]*+){closed})"
-        rf"(?={up_to(stock)}(?<stock>{opened}{no_paragraph}{closed}))(?s:.*)\z"
+        rf"(?={up_to(stock)}(?<stock>{opened}{no_paragraph}{closed}))"
+    )
+
+
+_PARAGRAPHS = ("star-rating", "price_color", "instock")
+
+
+def _fields_in_order():
+    """The fields in one pass: a heading with a link, then paragraphs of the rating, price and stock.
+
+    What this finds is what _fields_anywhere finds, as no paragraph lies before or between these, none has
+    the class of a later one, and no tag has a `<` in its quotes.
+    """
+    quoted = r'"[^<"]*+"|\'[^<\']*+\''
+    rest = rf"(?>[^<>\"']++|{quoted})*+>"
+
+    def up_to(*names):
+        return rf"[^<]*+(?:<(?!(?:{'|'.join(rf'(?i:{name})' for name in names)}){NAME_END})[^<]*+)*+"
+
+    def tag(name, attribute, value):
+        wanted = rf"\s(?i:{attribute})\s*=\s*"
+        skipped = rf"(?>(?!{wanted})(?:[^<>\"']|{quoted}))*+"
+        return rf'<(?i:{name}){NAME_END}{skipped}{wanted}"{value}"{rest}'
+
+    def paragraph(place, group=None):
+        own, later = re.escape(_PARAGRAPHS[place]), "|".join(map(re.escape, _PARAGRAPHS[place + 1 :]))
+        alone = rf'(?![^"<]*(?:{later}))' if later else ""
+        has_class = rf'(?=(?:[^"<]*\s)?{own}(?:\s[^"<]*)?"){alone}'
+        value = r'[^"<]*+' if group is None else rf'(?<{group}>[^"<]*+)'
+        return tag("p", "class", has_class + value)
+
+    closed = r"</(?i:p)\s*>"
+    return (
+        rf"{up_to('h3', 'p')}<(?i:h3){NAME_END}{rest}{up_to('a', 'p', '/h3')}"
+        rf"{tag('a', 'title', '(?<title1>[^<\"]*+)')}"
+        rf"{up_to('p')}{paragraph(0, 'rating1')}{up_to('p')}{paragraph(1)}(?<price1>[^<]*+){closed}"
+        rf"{up_to('p')}(?<stock1>{paragraph(2)}{up_to('/?p')}{closed})"
     )
 
 

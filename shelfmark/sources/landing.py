@@ -75,7 +75,8 @@ def profile_landing(spark, path):
 
     The header is the first line that is not blank.
     """
-    line = F.regexp_replace("value", "\r$", "")
+    has_return = F.col("value").contains("\r")
+    line = F.when(has_return, F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
     first = F.when((F.col("block_start") == 0) & line.rlike(r"\S"), F.col("line"))
     returns = F.col("value").endswith("\r")
     return (

@@ -115,7 +115,7 @@ def cards_from_pages(pages, html="html", max_pages=None):
 
 # The fields of a card that one pattern finds.
 _MARK = "\x01"
-_FIELDS = f"{_MARK}${{rating}}{_MARK}${{price}}{_MARK}${{stock}}{_MARK}${{title}}"
+_FIELDS = "".join(f"{_MARK}${{{name}}}${{{name}1}}" for name in ("rating", "price", "stock", "title"))
 
 
 def _raw_fields(card, found):

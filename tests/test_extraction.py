@@ -359,3 +359,33 @@ def test_cap_counts_per_response_and_subjects_are_chosen(spark):
     assert works_from_responses(df, limit=20).count() == 40
     capped = works_from_responses(df, subjects=["other"], limit=2)
     assert read(capped.select("title", "subject")) == [("0", "other"), ("1", "other")]
+
+
+_PIECES = [
+    '<h3><a href="x" title="A &amp; B">t</a></h3>', "<h3 title='<p class=\"instock\">x</p>'><a title=\"B\">t</a></h3>",
+    '<h3>t</h3><a title="C">t</a>', '<H3><i></i><A rel="a" TITLE = "D">t</A></H3>', '<h3><a title="a < b">t</a></h3>',
+    '<p class="star-rating One"><i></i></p>', '<p class="star-rating Two price_color">£1</p>',
+    "<p class='star-rating Three'></p>", '<P CLASS="big star-rating Four">',
+    '<p class="price_color">£2.5</p>', '<p class="price_color instock">£3</p>', '<p class="price_color">£<b>4</b></p>',
+    '<p class="instock availability">\n<i></i>In stock\n</p>', '<p class="instock">a<p>b</p></p>', '<p class="instock">c',
+    "<p>note</p>", '<b title="<p class=instock>">', "text", '<p class="pinstock">d</p>', "<pre>e</pre>",
+]
+
+
+def test_fields_of_a_card_in_usual_order_are_found_in_one_pass(spark):
+    usual = _PIECES[0] + _PIECES[5] + _PIECES[9] + _PIECES[12]
+    draw = random.Random(3)
+    cards = [usual] + [
+        "".join(draw.choice(_PIECES[a:b]) + draw.choice(["", "", "", draw.choice(_PIECES)])
+                for a, b in ((0, 5), (5, 9), (9, 12), (12, 15)))
+        for _ in range(3000)
+    ] + ["".join(draw.choices(_PIECES, k=6)) for _ in range(1000)]
+    df = spark.createDataFrame([(own,) for own in cards], "card string")
+    names = ("title", "rating", "price", "stock")
+    anywhere = F.regexp_replace("card", rf"^(?:{H._fields_anywhere()})(?s:.*)\z", "|".join(f"${{{n}}}" for n in names))
+    both = F.regexp_replace("card", H.card_fields(), "|".join(f"${{{n}}}${{{n}1}}" for n in names))
+    in_order = F.col("card").rlike("^" + H._fields_in_order())
+    rows = df.select("card", anywhere.alias("anywhere"), both.alias("both"), in_order.alias("in_order")).collect()
+    assert rows[0]["in_order"] and rows[0]["both"] == 'A &amp; B|star-rating One|£2.5|' + _PIECES[12]
+    assert [row for row in rows if row["both"] != row["anywhere"]] == []
+    assert len({row["in_order"] for row in rows}) == 2
